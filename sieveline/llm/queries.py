@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import encode
+from sieveline.llm import encode, leaks, sentences
 from sieveline.runtime import spread, table
 
 
@@ -14,6 +14,15 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_ids": p7_ids}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return leaks.leaks(docs, table(spark, sf_dir, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentences(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 ORACLE: dict[str, str] = {}
