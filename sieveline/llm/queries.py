@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import encode, leaks, sentences
+from sieveline.llm import encode, leaks, privacy, sentences
 from sieveline.runtime import spread, table
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(privacy.texts(table(spark, sf_dir, "ocr_blocks"), table(spark, sf_dir, "parsed_pdfs")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.found(_texts(spark, sf_dir))
+
+
+def p5_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.redacted(_texts(spark, sf_dir))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -23,6 +35,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 ORACLE: dict[str, str] = {}
