@@ -137,7 +137,8 @@ class Table:
         elif len(kinds) == 1:
             return part
         else:
-            kind = max("LCG", key=lambda k: (count[k] > 0, count[k], total[k]))
+            # letters of one script alone decide; where all could be Latin, a mixed word is Latin
+            kind = max("LCG", key=lambda k: (count[k], total[k])) if any(count.values()) else "L"
         done = [c if not script(c) or script(c) == kind else self.to[kind].get(c) for c in part]
         return part if None in done else "".join(done)
 
