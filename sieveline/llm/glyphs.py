@@ -18,7 +18,7 @@ KANA_AS_HAN = {"ミ": "三", "チ": "千", "オ": "才", "ヌ": "又", "ー": "
 #: Look-alikes beyond the Unicode table (fixed values).
 MORE_LOOKS = {"к": "k", "κ": "k", "т": "t", "п": "n"}
 #: Readings of characters whose first listed reading is rarely the one in names and addresses (fixed values).
-OTHER_READINGS = {"长": "chang", "曾": "zeng", "单": "shan", "重": "chong", "行": "hang", "乐": "le", "盛": "sheng", "石": "shi", "柏": "bai", "仇": "qiu", "解": "xie", "区": "ou", "尉": "wei", "华": "hua", "车": "che", "大": "da", "参": "can", "系": "xi", "调": "diao", "朝": "chao", "都": "du", "和": "he", "合": "he", "地": "di", "的": "de", "万": "wan", "俞": "yu", "弄": "nong", "堡": "bao", "厦": "sha", "洋": "yang", "种": "zhong", "会": "hui", "洗": "xi", "查": "zha", "塔": "ta", "澄": "cheng", "屏": "ping", "广": "guang"}
+OTHER_READINGS = {"桔": "ju", "长": "chang", "曾": "zeng", "单": "shan", "重": "chong", "行": "hang", "乐": "le", "盛": "sheng", "石": "shi", "柏": "bai", "仇": "qiu", "解": "xie", "区": "ou", "尉": "wei", "华": "hua", "车": "che", "大": "da", "参": "can", "系": "xi", "调": "diao", "朝": "chao", "都": "du", "和": "he", "合": "he", "地": "di", "的": "de", "万": "wan", "俞": "yu", "弄": "nong", "堡": "bao", "厦": "sha", "洋": "yang", "种": "zhong", "会": "hui", "洗": "xi", "查": "zha", "塔": "ta", "澄": "cheng", "屏": "ping", "广": "guang"}
 
 
 @dataclass
