@@ -358,12 +358,17 @@ def classed(hits: DataFrame) -> DataFrame:
     chosen = keyed.join(top, ["project_id", "number", "key"]).groupBy("project_id", "number", "stem").agg(F.max("top").alias("top"))
     token = chosen.select("project_id", "number", "stem", F.col("top.stem").alias("street"))
 
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(Address(r.stem, int(r.number), r.kind, r.city, r.district, r.postcode), int(r.n)) for r in pdf.itertuples()]
-        return pdf.assign(cls=classes(rows))[[*form, "street", "cls"]]
-
-    schema = "project_id string, number bigint, stem string, kind string, city string, district string, postcode string, street string, cls int"
-    placed = forms.join(token, ["project_id", "number", "stem"]).groupBy("project_id", "number", "street").applyInPandas(group, schema)
+    def group(groups: pd.Series) -> pd.Series:
+        out = []
+        for rows in groups:
+            cls = classes([(Address(r["stem"], int(r["number"]), r["kind"], r["city"], r["district"], r["postcode"]), int(r["n"])) for r in rows])
+            out.append([{**{k: r[k] for k in form[2:]}, "cls": c} for r, c in zip(rows, cls)])
+        return pd.Series(out, dtype=object)
+
+    # a group holds the distinct spellings of one street and number in one project, not their hits
+    grouped = forms.join(token, ["project_id", "number", "stem"]).groupBy("project_id", "number", "street").agg(F.collect_list(F.struct(*form[1:], "n")).alias("rows"))
+    ones = F.pandas_udf(group, "array<struct<stem: string, kind: string, city: string, district: string, postcode: string, cls: int>>")("rows")
+    placed = grouped.select("project_id", "number", "street", F.explode(ones).alias("x")).select("project_id", "number", "street", "x.*")
     place = F.concat_ws("|", F.col("number").cast("string"), "street", F.col("cls").cast("string"))
     return parsed.join(placed, form).select("hit_id", "project_id", place.alias("place"))
 

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import addresses, encode, leaks, lookalikes, privacy, sentences
+from sieveline.llm import addresses, encode, leaks, lookalikes, names, privacy, sentences
 from sieveline.runtime import spread, table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = spread(table(spark, sf_dir, "field_hits").select("project_id", "supplier_dir", "field", "value"))
+    return names.found(hits, table(spark, sf_dir, "field_decisions"), table(spark, sf_dir, "subject_results"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.found(spread(table(spark, sf_dir, "field_hits").where("field = 'address'").select("hit_id", "project_id", "field", "value")))
 
@@ -43,6 +48,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 ORACLE: dict[str, str] = {}
