@@ -17,6 +17,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import permutations
 
 import pandas as pd
@@ -46,6 +47,7 @@ BUSINESS = (
     ("power", "电力科技", "电力", "power technology"),
     ("software", "软件开发", "软件", "software"),
 )
+_WORDS = sorted(((w, code) for code, full, short, _ in BUSINESS for w in (full, short)), key=lambda x: -len(x[0]))
 #: Words of business in western names, without accents (fixed values); a short form is a beginning of three letters or more.
 WESTERN_BUSINESS = ("bau", "systems", "electronique", "mullentsorgung", "umwelttechnik", "fordertechnik", "servicios", "logistique", "controls", "engineering", "technik", "services", "construction", "sistemas", "logistics", "elektronik", "maschinenbau")
 #: Words of legal forms and signs around western names (fixed values).
@@ -121,8 +123,7 @@ def align(a: list[str], b: list[str]) -> float:
 class Name:
     kind: str  # o organisation, p person, i person by family name or initials only
     key: str  # main token: what variants share or come near
-    near: tuple[str, ...] = ()  # keys under which it is found by others
-    ask: tuple[str, ...] = ()  # keys it looks up itself
+    parts: str = ""  # its syllables, if it is read from characters
     core: str = ""
     business: str = ""
     city: str = ""
@@ -167,7 +168,7 @@ class Reader:
         m = re.match(r"^([A-Za-z]+) ([A-Za-z ]+?),? Co\.?,? ?(?:Ltd|Limited)\.?$", t)
         if m and (b := next((c for c, _, _, en in BUSINESS if edits(en, m[2].lower()) <= 1), None)):
             core = m[1].lower()
-            return Name("o", core, (f"J:{core}",), (f"J:{core}",), core, b)
+            return Name("o", core, "", core, b)
         return self.western_company(t)
 
     def chinese_company(self, t: str) -> Name | None:
@@ -201,13 +202,16 @@ class Reader:
         core, business = self.business(t)
         parts = [self.latin(c) for c in core]
         joined = "".join(parts)
-        bag = "S:" + "".join(sorted(parts))
-        less = tuple(sorted({"S:" + "".join(sorted(parts[:i] + parts[i + 1 :])) for i in range(len(parts))})) if len(parts) >= 3 else ()
-        return Name("o", joined, (f"J:{joined}", bag, *(f"D{x}" for x in less)), (f"J:{joined}", bag, *less, f"D{bag}"), joined, business, city, branch)
+        return Name("o", joined, " ".join(parts), joined, business, city, branch)
 
     def business(self, t: str) -> tuple[str, str]:
         """(core, code): the best cut between a core of about three characters and a line of business, with at most one error."""
+        for word, code in _WORDS:
+            if t.endswith(word) and 2 <= len(t) - len(word) <= 4:
+                return t[: -len(word)], code
         best = (9.0, 9, t, "")
+        if len(t) == 3:
+            return t, ""
         for k in range(2, min(5, len(t)) + 1):
             tail = t[k:]
             if not tail:
@@ -241,7 +245,7 @@ class Reader:
                 return None
             rest, business = [business], ""
         core = "".join(rest)
-        return Name("o", core, _letters(core), _letters(core), core, business)
+        return Name("o", core, "", core, business)
 
     # persons
     def person(self, t: str) -> Name | None:
@@ -263,7 +267,7 @@ class Reader:
                 return Name("i", "", family="=" + self.latin(han))
             f, g = self.latin(family), "".join(self.latin(c) for c in given)
             key = "|".join(sorted((f, g)))
-            return Name("p", key, (f"N:{key}", *_swapped(key)), (f"N:{key}",), family, "han", family=f"{f}|={g}", given="".join(self.latin(c)[:1] for c in given) + "|")
+            return Name("p", key, "", family, "han", family=f"{f}|={g}", given="".join(self.latin(c)[:1] for c in given) + "|")
         titled = bool(_WEST_TITLE.match(t))
         t = _WEST_TITLE.sub("", t).strip(" ,.")
         comma = re.match(r"^([^,]+),\s*(.+)$", t)
@@ -284,23 +288,23 @@ class Reader:
         a, b = NICKNAMES.get(a, a), NICKNAMES.get(b, b)
         key = "|".join(sorted((a, b)))
         if _PINYIN.match(a) and _PINYIN.match(b):
-            return Name("p", key, (f"N:{key}", *_swapped(key)), (f"N:{key}",), "", "pinyin", family=f"{a}|{b}|={a}|={b}", given=f"{''.join(x[0] for x in syllables(b))}|{''.join(x[0] for x in syllables(a))}||")
-        return Name("p", key, (f"N:{key}", *_swapped(key)), (f"N:{key}", *_swapped(key)), "", "west", family=f"{a}|{b}", given=f"{b[0]}|{a[0]}")
+            return Name("p", key, "", "", "pinyin", family=f"{a}|{b}|={a}|={b}", given=f"{''.join(x[0] for x in syllables(b))}|{''.join(x[0] for x in syllables(a))}||")
+        return Name("p", key, "", "", "west", family=f"{a}|{b}", given=f"{b[0]}|{a[0]}")
 
 
-def _letters(word: str) -> tuple[str, ...]:
-    """The word and its forms with one letter deleted, as keys."""
-    out = {f"J:{word}"}
-    if len(word) >= 7:
-        out |= {f"L:{word[:i]}{word[i + 1:]}" for i in range(len(word))} | {f"L:{word}"}
-    return tuple(sorted(out))
+#: Keys of the symmetric-delete index, as SQL over key, parts, kind, strict: near are those under which a token is found, ask
+#: those it looks up. Cores of characters: the reading, its syllables in any order, and in any order with one left out (which
+#: meets only a token that is that much shorter or longer); words: one letter deleted; readings of persons ask for themselves.
+_DELETED = "transform(sequence(1, length(key)), i -> concat('L:', substring(key, 1, i - 1), substring(key, i + 1)))"
+_BAG = "array_join(array_sort(split(parts, ' ')), '')"
+_LESS = "if(size(split(parts, ' ')) >= 3, transform(sequence(0, size(split(parts, ' ')) - 1), i -> array_join(array_sort(filter(split(parts, ' '), (x, k) -> k <> i)), '')), array())"
+NEAR = f"""array_distinct(CASE WHEN parts <> '' THEN concat(array(concat('J:', key), concat('S:', {_BAG})), transform({_LESS}, x -> concat('D:', x)))
+    WHEN length(key) >= if(kind = 'o', 7, 9) THEN concat(array(concat('J:', key), concat('L:', key)), {_DELETED}) ELSE array(concat('J:', key)) END)"""
+ASK = f"""array_distinct(CASE WHEN parts <> '' THEN concat(array(concat('J:', key), concat('S:', {_BAG}), concat('D:', {_BAG})), transform({_LESS}, x -> concat('S:', x)))
+    WHEN NOT strict AND length(key) >= if(kind = 'o', 7, 9) THEN concat(array(concat('J:', key), concat('L:', key)), {_DELETED}) ELSE array(concat('J:', key)) END)"""
 
 
-def _swapped(key: str) -> tuple[str, ...]:
-    return tuple(sorted({f"L:{key[:i]}{key[i + 1:]}" for i in range(len(key))} | {f"L:{key}"})) if len(key) >= 9 else ()
-
-
-SCHEMA = "project_id string, name string, kind string, key string, near array<string>, ask array<string>, core string, business string, city string, branch string, family string, given string, n bigint"
+SCHEMA = "project_id string, name string, kind string, key string, parts string, core string, business string, city string, branch string, family string, given string, n bigint"
 
 
 def strings(hits: DataFrame, decisions: DataFrame, subjects: DataFrame) -> DataFrame:
@@ -320,12 +324,13 @@ def parsed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value, known.value)
+        read = lru_cache(20_000)(reader.read)  # one spelling occurs in many projects
         for pdf in batches:
             out = []
             for p, s, r, n in zip(pdf["project_id"], pdf["name"], pdf["role"], pdf["n"]):
-                x = reader.read(s, {"person": True, "company": False}.get(r))
+                x = read(s, {"person": True, "company": False}.get(r))
                 if x:
-                    out.append((p, s, x.kind, x.key, list(x.near), list(x.ask), x.core, x.business, x.city, x.branch, x.family, x.given, n))
+                    out.append((p, s, x.kind, x.key, x.parts, x.core, x.business, x.city, x.branch, x.family, x.given, n))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     distinct = rows.groupBy("project_id", "name").agg(F.min("role").alias("lo"), F.max("role").alias("hi"), F.sum("n").alias("n"))
@@ -390,9 +395,10 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     p = cut(parsed(rows, cities))
     main = p.where("kind <> 'i'")
     # the index: keys under which tokens are found, with the most frequent token of each key
-    tokens = main.groupBy("project_id", "kind", "key", "near", "ask").agg(F.sum("n").alias("n"))
-    index = tokens.select("project_id", "kind", "n", "key", F.explode("near").alias("k")).groupBy("project_id", "kind", "k").agg(F.max(F.struct("n", "key")).alias("top"))
-    asked = tokens.select("project_id", "kind", "key", F.explode("ask").alias("k")).distinct()
+    strict = (F.col("kind") == "p") & (F.col("business") != "west")
+    tokens = main.groupBy("project_id", "kind", "key").agg(F.max("parts").alias("parts"), F.min(strict).alias("strict"), F.sum("n").alias("n"))
+    index = tokens.select("project_id", "kind", "n", "key", F.explode(F.expr(NEAR)).alias("k")).groupBy("project_id", "kind", "k").agg(F.max(F.struct("n", "key")).alias("top"))
+    asked = tokens.select("project_id", "kind", "key", F.explode(F.expr(ASK)).alias("k"))
     chosen = asked.join(index, ["project_id", "kind", "k"]).groupBy("project_id", "kind", "key").agg(F.max("top").alias("top"))
     token = chosen.select("project_id", "kind", "key", F.col("top.key").alias("head"))
     # a token that was chosen by its own head goes with the head's choice, so that chains of two end in one place

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sieveline.llm import addresses, encode, leaks, lookalikes, names, privacy, sentences
+from sieveline.llm import addresses, encode, leaks, linkage, lookalikes, names, privacy, sentences
 from sieveline.runtime import spread, table
 
 
@@ -15,6 +16,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.found(hits, table(spark, sf_dir, "field_decisions"), table(spark, sf_dir, "subject_results"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.found(table(spark, sf_dir, "query_subjects"), spread(table(spark, sf_dir, "adapter_records").select("record_id", "fields")))
+
+
+def p2_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = linkage.linked(table(spark, sf_dir, "query_subjects"), spread(table(spark, sf_dir, "adapter_records").select("record_id", "fields")))
+    return linked.select("subject_id", "record_id", F.round("confidence", 4).alias("confidence"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.found(spread(table(spark, sf_dir, "field_hits").where("field = 'address'").select("hit_id", "project_id", "field", "value")))
 
@@ -48,6 +58,6 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p2_found": p2_found, "p2_confidence": p2_confidence, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 ORACLE: dict[str, str] = {}
