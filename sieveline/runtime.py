@@ -54,16 +54,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through a reliable checkpoint in the folder named by spark.checkpoint.dir.
+    """Cuts the lineage: the rows are written as a Parquet table into the folder named by spark.checkpoint.dir, and read from it.
 
-    The folder of the session is used as it is; only where none is set (as in tests) a local one is chosen.
-    Executors may be lost afterwards without losing the rows.
+    The folder of the session is used as it is, so that all executors share it; only where none is set (as in tests) a local one
+    is chosen. Executors may be lost afterwards without losing the rows. The table is deleted when the application ends.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        where = sc.getConf().get("spark.checkpoint.dir", "") or df.sparkSession.conf.get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(f"{where or tempfile.gettempdir()}/sieveline-{uuid.uuid4().hex[:8]}")
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    where = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", "") or tempfile.gettempdir()
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{where}/sieveline-{uuid.uuid4().hex}")
+    df.write.parquet(path.toString())
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(path.toString())
 
 
 def spread(df: DataFrame, *keys: str, least: int = 0) -> DataFrame:
