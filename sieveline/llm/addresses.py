@@ -303,25 +303,19 @@ def classes(rows: list[tuple[Address, int]]) -> list[int]:
 def places(texts: DataFrame, shared, least: int = 3) -> tuple[dict[str, str], dict[str, str]]:
     """Cities and districts (with their city) named by full addresses at least ``least`` times.
 
-    What reaches the driver are administrative places, which the world bounds to some thousands, not addresses.
+    Pattern and sums run in the JVM. What reaches the driver are administrative places, which the world bounds to some
+    thousands, not addresses.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, counts = Reader(shared.value), {}
-        for pdf in batches:
-            for t in pdf["value"]:
-                m = re.match(rf"[{_CN}]{{2,4}}(?:省|自治区)([{_CN}]{{2,4}}?)市([{_CN}]{{1,4}}?)[区县旗]", reader.plain(t).strip())
-                if m:
-                    k = (reader.latin(m[1]), reader.latin(m[2]))
-                    counts[k] = counts.get(k, 0) + 1
-        yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["city", "district", "n"])
-
-    seen = texts.mapInPandas(run, "city string, district string, n bigint").groupBy("city", "district").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    full = f"^\\s*[{_CN}]{{2,4}}(?:省|自治区)([{_CN}]{{2,4}}?)市([{_CN}]{{1,4}}?)[区县旗]"
+    part = lambda i: F.regexp_extract("value", full, i)
+    seen = texts.select(part(1).alias("city"), part(2).alias("district")).where("city <> ''").groupBy("city", "district").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    reader = Reader(shared.value)
     cities: dict[str, str] = {}
     best: dict[str, tuple[int, str]] = {}
     for r in seen.collect():
-        cities[r.city] = r.city
-        best[r.district] = max(best.get(r.district, (0, "")), (r.n, r.city))
+        city, district = reader.latin(r.city), reader.latin(r.district)
+        cities[city] = city
+        best[district] = max(best.get(district, (0, "")), (r.n, city))
     return cities, {d: c for d, (_, c) in best.items()}
 
 

@@ -351,7 +351,7 @@ def org_classes(rows: list[tuple[str, str, str, str, str, int]]) -> list[int]:
                 continue
             tokens = [t for t in (core, business, city) if t]
             there = [t for t in (head["core"], head["business"], head["city"]) if t]
-            fits.append((bool(business and head["business"]) + bool(city and head["city"]), -align(tokens, there), head["n"], -h))
+            fits.append((bool(business and head["business"]) + bool(city and head["city"]), -align(tokens, there) if tokens != there else 0.0, head["n"], -h))
         if fits:
             h = -max(fits)[3]
             head = heads[h]
@@ -392,6 +392,7 @@ def person_classes(rows: list[tuple[str, str, str, str, int]]) -> list[int]:
 
 def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     """(project_id, name, entity): strings of one organisation or person share the entity."""
+    rows = cut(rows)
     p = cut(parsed(rows, cities))
     main = p.where("kind <> 'i'")
     # the index: keys under which tokens are found, with the most frequent token of each key
@@ -416,14 +417,17 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     member = F.struct("key", "name", "core", "business", "city", "branch", "family", "given", "n")
-    # a group holds the distinct strings of one main token in one project, not their rows
+    # a group holds the distinct strings of one main token in one project, not their rows; most hold one and need no Python
     groups = main.select("project_id", "kind", "key", member.alias("m")).join(token, ["project_id", "kind", "key"]).groupBy("project_id", "kind", "head").agg(F.collect_list("m").alias("members"))
+    groups = cut(groups)
     classes = F.pandas_udf(group, "array<struct<name: string, family: string, given: string, entity: string>>")("kind", "head", "members")
-    known = groups.select("project_id", "kind", F.explode(classes).alias("x")).select("project_id", "kind", "x.*")
+    many = groups.where(F.size("members") > 1).select("project_id", "kind", F.explode(classes).alias("x")).select("project_id", "kind", "x.*")
+    one = groups.where(F.size("members") == 1).select("project_id", "kind", F.col("members")[0].alias("m"), F.concat("kind", F.lit(":"), "head", F.lit(":0")).alias("entity"))
+    known = many.unionByName(one.select("project_id", "kind", "m.name", "m.family", "m.given", "entity"))
     known = cut(known)
     # family names alone and initials: the only person of the same supplier, else of the project
     who = known.where("kind = 'p'").select("project_id", "name", "entity", F.explode(F.arrays_zip(F.split("family", "\\|").alias("family"), F.split("given", "\\|").alias("given"))).alias("x")).select("project_id", "name", "entity", "x.family", "x.given")
-    dirs = rows.select("project_id", "name", "dir").where("dir <> ''").distinct()
+    dirs = rows.where("dir <> '' AND role <> 'company'").select("project_id", "name", "dir").distinct()
     part = p.where("kind = 'i'").select("project_id", "name", "family", "given")
     in_dir = who.join(dirs, ["project_id", "name"])
     out = None
