@@ -2,17 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sieveline.plans import records, values  # noqa: F401  (they register their queries)
+from sieveline.plans.registry import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-from sieveline.functions import moments
-from sieveline.runtime import table
-
-
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return moments.found(spark, table(spark, sf_dir, "parsed_pdfs"), table(spark, sf_dir, "adapter_records"), table(spark, sf_dir, "project_configs"))
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_found": p6_found}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
