@@ -304,6 +304,7 @@ ASK = f"""array_distinct(CASE WHEN parts <> '' THEN concat(array(concat('J:', ke
     WHEN NOT strict AND length(key) >= if(kind = 'o', 7, 9) THEN concat(array(concat('J:', key), concat('L:', key)), {_DELETED}) ELSE array(concat('J:', key)) END)"""
 
 
+_MASK = (1 << 43) - 1
 SCHEMA = "project_id string, name string, kind string, key string, parts string, core string, business string, city string, branch string, family string, given string, n bigint"
 
 
@@ -396,15 +397,19 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     p = cut(parsed(rows, cities))
     main = p.where("kind <> 'i'")
     # the index: keys under which tokens are found, with the most frequent token of each key
+    # tokens and keys are compared as hashes inside their project: a token's id has 43 bits, and one number holds its
+    # frequency (for choosing, up to a million) above its id, so that the sums stay in fixed-width buffers
+    ident = F.xxhash64("kind", "key").bitwiseAND(F.lit(_MASK))
     strict = (F.col("kind") == "p") & (F.col("business") != "west")
-    tokens = main.groupBy("project_id", "kind", "key").agg(F.max("parts").alias("parts"), F.min(strict).alias("strict"), F.sum("n").alias("n"))
-    index = tokens.select("project_id", "kind", "n", "key", F.explode(F.expr(NEAR)).alias("k")).groupBy("project_id", "kind", "k").agg(F.max(F.struct("n", "key")).alias("top"))
-    asked = tokens.select("project_id", "kind", "key", F.explode(F.expr(ASK)).alias("k"))
-    chosen = asked.join(index, ["project_id", "kind", "k"]).groupBy("project_id", "kind", "key").agg(F.max("top").alias("top"))
-    token = chosen.select("project_id", "kind", "key", F.col("top.key").alias("head"))
+    tokens = main.groupBy("project_id", "kind", "key").agg(F.max("parts").alias("parts"), F.min(strict).alias("strict"), F.sum("n").alias("n")).withColumn("id", ident)
+    code = F.shiftleft(F.least("n", F.lit(2**20 - 1).cast("bigint")), 43).bitwiseOR(F.col("id"))
+    keyed = lambda keys: F.transform(F.expr(keys), lambda k: F.xxhash64("kind", k))
+    index = tokens.select("project_id", code.alias("code"), F.explode(keyed(NEAR)).alias("k")).groupBy("project_id", "k").agg(F.max("code").alias("top"))
+    asked = tokens.select("project_id", "id", F.explode(keyed(ASK)).alias("k"))
+    token = asked.join(index, ["project_id", "k"]).groupBy("project_id", "id").agg(F.max("top").bitwiseAND(F.lit(_MASK)).alias("head"))
     # a token that was chosen by its own head goes with the head's choice, so that chains of two end in one place
-    again = token.select("project_id", "kind", F.col("key").alias("head"), F.col("head").alias("head2"))
-    token = token.join(again, ["project_id", "kind", "head"]).select("project_id", "kind", "key", F.col("head2").alias("head"))
+    again = token.select("project_id", F.col("id").alias("head"), F.col("head").alias("head2"))
+    token = token.join(again, ["project_id", "head"]).select("project_id", "id", F.col("head2").alias("head"))
 
     def group(kinds: pd.Series, heads: pd.Series, members: pd.Series) -> pd.Series:
         out = []
@@ -418,11 +423,11 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
 
     member = F.struct("key", "name", "core", "business", "city", "branch", "family", "given", "n")
     # a group holds the distinct strings of one main token in one project, not their rows; most hold one and need no Python
-    groups = main.select("project_id", "kind", "key", member.alias("m")).join(token, ["project_id", "kind", "key"]).groupBy("project_id", "kind", "head").agg(F.collect_list("m").alias("members"))
+    groups = main.select("project_id", "kind", ident.alias("id"), member.alias("m")).join(token, ["project_id", "id"]).groupBy("project_id", "kind", "head").agg(F.collect_list("m").alias("members"))
     groups = cut(groups)
     classes = F.pandas_udf(group, "array<struct<name: string, family: string, given: string, entity: string>>")("kind", "head", "members")
     many = groups.where(F.size("members") > 1).select("project_id", "kind", F.explode(classes).alias("x")).select("project_id", "kind", "x.*")
-    one = groups.where(F.size("members") == 1).select("project_id", "kind", F.col("members")[0].alias("m"), F.concat("kind", F.lit(":"), "head", F.lit(":0")).alias("entity"))
+    one = groups.where(F.size("members") == 1).select("project_id", "kind", F.col("members")[0].alias("m"), F.concat("kind", F.lit(":"), F.col("head").cast("string"), F.lit(":0")).alias("entity"))
     known = many.unionByName(one.select("project_id", "kind", "m.name", "m.family", "m.given", "entity"))
     known = cut(known)
     # family names alone and initials: the only person of the same supplier, else of the project
