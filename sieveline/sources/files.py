@@ -21,7 +21,10 @@ INBOXES = ("inbox", "incoming", "uploads")
 
 
 def project_tree(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(relative_path, supplier_dir, category, length, modified, content) of all files below a root, without hidden ones."""
+    """(relative_path, supplier_dir, category, length, modified, content) of all files below a root, without hidden ones.
+
+    Files without any byte give no row: Spark's binary scan has no split for them.
+    """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     rel = F.regexp_replace(F.col("path"), "^.*?" + re.escape(root.rstrip("/")) + "/", "")
     df = raw.withColumn("relative_path", rel).where(~F.col("relative_path").rlike(r"(^|/)(\.|__pycache__)"))
