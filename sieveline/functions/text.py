@@ -126,17 +126,18 @@ def mobile_redacted(c: Column) -> Column:
 
 def common_subsequence(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence, by rows of the usual table as nested aggregates."""
-    left, right = F.filter(F.split(a, ""), lambda x: x != ""), F.filter(F.split(b, ""), lambda x: x != "")
-    zero = F.transform(F.sequence(F.lit(0), F.size(right)), lambda _: F.lit(0))
+    one = F.lit(1)
+    zero = F.array_repeat(F.lit(0), F.length(b) + 1)
 
-    def row(prev: Column, x: Column) -> Column:
+    def row(prev: Column, i: Column) -> Column:
+        x = F.substr(a, i, one)
         return F.aggregate(
-            F.sequence(F.lit(1), F.size(right)),
+            F.sequence(one, F.length(b)),
             F.array(F.lit(0)),
-            lambda cur, j: F.concat(cur, F.array(F.when(F.element_at(right, j) == x, F.element_at(prev, j) + 1).otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(cur, j))))),
+            lambda cur, j: F.array_append(cur, F.when(F.substr(b, j, one) == x, F.element_at(prev, j) + 1).otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(cur, j)))),
         )
 
-    return F.element_at(F.aggregate(left, zero, row), -1)
+    return F.element_at(F.aggregate(F.sequence(one, F.length(a)), zero, row), -1)
 
 
 def name_similarity(a: Column, b: Column) -> Column:
