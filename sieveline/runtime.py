@@ -68,7 +68,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path.toString())
 
 
-def spread(df: DataFrame, *keys: str, least: int = 0) -> DataFrame:
-    """Repartitions rows over all cores before Python work, as a small Parquet file is read by a single task."""
-    n = max(least, df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+def spread(df: DataFrame, least: int = 0) -> DataFrame:
+    """Repartitions rows over all cores before Python work, but only where the input has fewer partitions than the cluster cores.
+
+    A small Parquet file is read by one task, which would leave the other cores idle; a large table is split by its files already
+    and stays as it is, without a shuffle of its texts. Planning the scan starts no job.
+    """
+    sc = df.sparkSession.sparkContext
+    cores = max(least, sc.defaultParallelism)
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(max(cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
