@@ -240,7 +240,7 @@ def found(hits: DataFrame, buckets: int | None = None) -> DataFrame:
             yield pd.DataFrame(rows, columns=["token", "look", "n"])
 
     vocab = words.mapInPandas(vocabulary, "token string, look string, n bigint").join(asked.select("look").distinct(), "look", "left_semi")
-    n = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = buckets or 4 * max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bucket = (F.abs(F.xxhash64("look")) % n).cast("int")
 
     def match(odd_pdf: pd.DataFrame, vocab_pdf: pd.DataFrame) -> pd.DataFrame:

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.runtime import cut
+
 # Marks by their role.
 WIDE_ENDS = "。！？｡।॥۔؟‼⁇⁈⁉።။។៕།"
 PLAIN_ENDS = ".!?．"
@@ -37,7 +39,7 @@ NEVER = set(
     "jan feb mar apr jun jul aug sept sep oct nov dec annex ver".split()
 )
 #: Abbreviations that may also stand at the end of a sentence (fixed values, lower case).
-MAY_END = set("ltd inc co corp llc plc jr etc esq p.m a.m p.a u.s u.k dept est usw ff bros gmbh s.a s.l s.r.l s.a.s h.t t.t.c uu ee.uu usa др г руб тыс млн млрд коп a.g e.v mwst usf".split())
+MAY_END = set("kg ag gmbh kgaa ohg ltd inc co corp llc plc jr etc esq p.m a.m p.a u.s u.k dept est usw ff bros gmbh s.a s.l s.r.l s.a.s h.t t.t.c uu ee.uu usa др г руб тыс млн млрд коп a.g e.v mwst usf".split())
 #: Words before a German ordinal number (fixed values, lower case).
 BEFORE_ORDINAL = set("im am des vom zum der die das dem den ab bis seit zur beim jeder jedes jeden ihr ihre seinem seiner".split())
 MONTH_NAMES = set("januar februar märz april mai juni juli august september oktober november dezember quartal halbjahr jahrhundert abschnitt".split())
@@ -96,10 +98,11 @@ class _Doc:
             self._small = {w for w in _WORD.findall(self.text) if w[0].islower()}
         return bool(word) and word.lower() not in self._small
 
-    def abbreviation(self, key: str) -> bool:
+    def abbreviation(self, key: str, capital: bool) -> bool:
+        """By the document's own evidence; before a capital, where it has none, by that of the corpus."""
         if key in self.short:
             return self.short[key] > self.plain.get(key, 0)
-        return key in self.corpus
+        return capital and len(key) <= 8 and key in self.corpus
 
 
 def split(text: str | None, corpus: frozenset[str] = frozenset()) -> list[tuple[int, int]]:
@@ -281,7 +284,7 @@ def _ends(doc: _Doc, start: int, i: int, run: str, last: int, nxt: int, hi: int)
         return not c.isdigit()
     if "." in token and all(len(x) <= 2 for x in token.split(".")):
         return not c.isdigit()
-    if doc.abbreviation(key):
+    if doc.abbreviation(key, c.isupper()):
         return bool(follow) and not doc.is_name(follow[0])
     return True
 
@@ -290,12 +293,13 @@ def doc_is_german(text: str) -> bool:
     return bool(re.search(r"\b(?:der|die|das|und|ist|nicht|wird|für)\b", text))
 
 
-def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 3, share: float = 0.6) -> DataFrame:
+def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 3, share: float = 0.6, most: int = 200_000) -> DataFrame:
     """(doc_id, sent_start, sent_end): one row for each sentence.
 
     First pass: evidence of every document, summed over the corpus by token (partial sums before the shuffle). Tokens that
-    look like abbreviations at least ``least`` times and in a ``share`` of their occurrences are the corpus fallback; it is joined
-    to the open tokens of each document by token, so that nothing of unproven size is broadcast by hand. Second pass: the split.
+    look like abbreviations at least ``least`` times and in a ``share`` of their occurrences are the corpus fallback. Their number
+    is counted: up to ``most`` of them are broadcast and the second pass, the split, is narrow; more are joined by token to the
+    open tokens of each document, with the same result.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
 
@@ -311,19 +315,30 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             yield pd.DataFrame([(k, a, b) for k, (a, b) in counts.items()], columns=["token", "short", "plain"])
 
     stats = src.select("text").mapInPandas(gather, "token string, short bigint, plain bigint").groupBy("token").agg(F.sum("short").alias("short"), F.sum("plain").alias("plain"))
-    known = stats.where((F.col("short") >= least) & (F.col("short") >= share * (F.col("short") + F.col("plain")))).select("token")
+    known = cut(stats.where((F.col("short") >= least) & (F.col("short") >= share * (F.col("short") + F.col("plain")))).select("token"))
+    if known.count() <= most:
+        tokens = src.sparkSession.sparkContext.broadcast(frozenset(r.token for r in known.collect()))
+
+        def cut_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([[{"s": a, "e": b} for a, b in split(t, tokens.value)] for t in texts], dtype=object)
+
+        spans = F.pandas_udf(cut_all, "array<struct<s: int, e: int>>")("text")
+        rows = src.select("doc_id", F.explode(spans).alias("x"))
+        return rows.select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))
 
     def opened(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([open_tokens(t) for t in texts], dtype=object)
 
+    # each document gets the abbreviations that it asks for, by a join over tokens
     asked = src.select("doc_id", F.explode(F.pandas_udf(opened, "array<string>")("text")).alias("token"))
     settled = asked.join(known, "token").groupBy("doc_id").agg(F.collect_set("token").alias("known"))
 
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, tokens in batches:
-            yield pd.Series([[{"s": a, "e": b} for a, b in split(t, frozenset() if k is None else frozenset(k))] for t, k in zip(texts, tokens)], dtype=object)
+    def cut_own(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, sets in batches:
+            yield pd.Series([[{"s": a, "e": b} for a, b in split(t, frozenset() if k is None else frozenset(k))] for t, k in zip(texts, sets)], dtype=object)
 
-    spans = F.pandas_udf(cut, "array<struct<s: int, e: int>>")("text", "known")
+    spans = F.pandas_udf(cut_own, "array<struct<s: int, e: int>>")("text", "known")
     rows = src.join(settled, "doc_id", "left").select("doc_id", F.explode(spans).alias("x"))
     return rows.select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))

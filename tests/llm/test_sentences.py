@@ -58,3 +58,5 @@ def test_frame(spark):
     assert sorted(got[6]) == [(0, 3), (0, 18), (4, 7), (19, 27)]
     assert set(got) == {0, 1, 2, 3, 4, 6}
     assert S.sentences(df.limit(0)).count() == 0
+    joined = S.sentences(df, most=-1)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, S.sentences(df).collect()))
