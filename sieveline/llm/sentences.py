@@ -51,7 +51,9 @@ _UNSPACED = {chr(c) for c in (*range(0x0900, 0x0980), *range(0x0E00, 0x0E80))}
 
 _BLANK = re.compile(r"(?>\r\n|\n|\r)(?:[^\S\r\n]*(?>\r\n|\n|\r))+")
 _EVENT = re.compile("[" + re.escape(WIDE_ENDS + PLAIN_ENDS + "…\"" + "".join(OPENS) + "".join(OPENS.values()) + "".join(BRACKETS) + "".join(BRACKETS.values())) + "]|(?<=[ก-๛])\\s+(?=[ก-๛])")
-_TOKEN = re.compile(r"[^\W_](?:[\w'’°-]|\.(?=\w))*$")
+#: Accents, points and vowel signs that belong to the letter before them.
+_MARKS = "\u0300-\u036f\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed"
+_TOKEN = re.compile(rf"[^\W_](?:[\w{_MARKS}'’°-]|\.(?=\w))*$")
 _MARKER = re.compile(r"\s*[(（]?\s*(?:\d{1,3}(?:\.\d{1,3})*|[A-Za-zА-Яа-я]|[ivxIVX]{1,5}|[一二三四五六七八九十]{1,3})\s*[.．)）]$")
 _LEAD = re.compile(r"\s*(?:(?:[(（]\s*(?:\d{1,3}|[A-Za-z]|[ivx]{1,5}|[一二三四五六七八九十]{1,3})\s*[)）]|\d{1,3}[.)、．]|[•·▪◦*–—-]|[一二三四五六七八九十]{1,3}、)\s*)*$")
 _BEFORE = re.compile(r"([^\W\d_](?:[\w'’-]|\.(?=\w))*)\.(?=(\s*)(\S))")

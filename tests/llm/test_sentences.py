@@ -22,6 +22,8 @@ def cut(text, corpus=frozenset()):
         ("समिति ने डॉ. वर्णिक को रु. 52.71 लाख दिए। अंत।", ["समिति ने डॉ. वर्णिक को रु. 52.71 लाख दिए।", "अंत।"]),
         ("ราคาที่เสนอ คณะกรรมการภายใน 3 วัน", ["ราคาที่เสนอ", "คณะกรรมการภายใน 3 วัน"]),
         ("委員長は「承認します。次に。」と述べた。以上。", ["委員長は「承認します。次に。」と述べた。", "以上。"]),
+        ("الساعة 9 صباحًا. راجعت؟ نعم", ["الساعة 9 صباحًا.", "راجعت؟", "نعم"]),
+        ("（7）（見積書。）図面はVer.6.4を使用。", ["（7）（見積書。）", "図面はVer.6.4を使用。"]),
         ("Heading\n \n1. First one. Second\r\nline. \n\n\t", ["Heading", "1. First one.", "Second\r\nline."]),
         ("The deposit ... was refunded. (Late offers.) Next [...] one.", ["The deposit ... was refunded.", "(Late offers.)", "Next [...] one."]),
         ('He said: "Yes. Go on!" The end', ['He said: "Yes. Go on!"', "The end"]),
