@@ -94,7 +94,10 @@ _WIDTH = str.maketrans(_FROM, _TO)
 #: Chinese-typed brackets and punctuation stay as they are, as contexts name them.
 for _c in "（），：；！？":
     _WIDTH.pop(ord(_c), None)
-_WIDTH_ID = _WIDTH | {ord("（"): "(", ord("）"): ")"}
+_BRACKETS = {ord("（"): "(", ord("）"): ")"}
+#: Cheap tests that save the patterns where they cannot match.
+_DIGITS, _AT, _LATIN = re.compile(r"\d{2}"), re.compile(r"@|[\[({#]at[\])}#]", re.I), re.compile("[A-Za-zÀ-ÿ]{2}")
+_FAMILY = re.compile("|".join(COMPOUND) + "|[" + "".join(sorted(SURNAMES)) + "]")
 
 
 def id18_ok(code: str) -> bool:
@@ -115,17 +118,19 @@ def _edge(t: str, a: int, b: int) -> bool:
 
 def candidates(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, votes): the votes are one character a labeler, + for, - against, 0 none."""
-    t, tid = text.translate(_WIDTH), text.translate(_WIDTH_ID)
+    t = text if text.isascii() else text.translate(_WIDTH)
+    tid = t.translate(_BRACKETS) if "（" in t else t
+    numbers = bool(_DIGITS.search(t))
     out: list[tuple[int, int, str, str]] = []
     add = lambda a, b, kind, *votes: out.append((a, b, kind, "".join("+" if v > 0 else "-" if v < 0 else "0" for v in votes)))
 
     def around(a: int, b: int) -> tuple[str, str]:
         return t[max(0, a - 18) : a], t[b : b + 16]
 
-    for m in _EMAIL.finditer(t):
+    for m in _EMAIL.finditer(t) if _AT.search(t) else ():
         left, _ = around(m.start(), m.end())
         add(m.start(), m.end(), "email", 1, 1 if re.search(r"(?i)mail|邮箱|发送|抄送|方式|contact|quer|reach|über|at\s*$|[:：]\s*$", left) else 0, 1 if "@" in m[0] else 0, -1 if _MASK.search(m[0]) else 0)
-    for name, pattern in _PHONES:
+    for name, pattern in _PHONES if numbers else ():
         for m in pattern.finditer(tid):
             a, b = m.span()
             left, right = around(a, b)
@@ -133,7 +138,7 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
             if _edge(tid, a, b) or (tid[a - 1 : a] in "+." and a) or re.search(r"\d[-/.,\s]$", left[-2:]) and name in ("short", "national"):
                 continue
             add(a, b, "phone", 1, 1 if name.startswith("cn_") else 0, 1 if re.search(r"(?i)电话|手机|传真|致电|改拨|tel|phone|call|reached|number|unter|mobil|fax|沟通|^\s*$|[:：]\s*$", left) else 0, -1 if _SERIAL.search(left) else 0, -1 if _MASK.search(left[-4:] + right[:4]) else 0, 1 if 7 <= digits <= 18 else -1, 1 if re.match(r"已停机|二十四|转|，对方| is |）|\)|。|，|\s*$|\.|,|;", right) else 0)
-    for name, pattern in _IDS:
+    for name, pattern in _IDS if numbers else ():
         for m in pattern.finditer(t):
             a, b = m.span()
             code = re.sub(r"\s", "", m[0])
@@ -142,17 +147,18 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
             left, right = around(a, b)
             named = re.search(r"(?i)身份证|证件|护照|公民身份|身份号码|passport|ausweis|\bid\b", left)
             add(a, b, "id_number", 1, (1 if id18_ok(code) else -1) if name == "id18" else 0, 1 if named else 0, -1 if _SERIAL.search(left) and not named else 0, 1 if name == "passport" else 0, -1 if not named and (re.search(r"(?i)序列|serial|S/N|serien", left) or re.match(r"\s?is engraved", right)) else 0)
-    for m in _CN_CORE.finditer(t):
+    for m in _CN_CORE.finditer(t) if "号" in t or "號" in t or "#" in t else ():
         a, b = _grow(t, m)
         left, right = around(a, b)
         head = t[a : m.start("no")]
         add(a, b, "address", 1, 1 if re.search(r"地址|现住|住所地|寄至|地点|自$|邮寄|住", left) else 0, 1 if re.search(r"省|自治区|市|区|县|旗", head) else 0, 1 if m["tail"].strip() else 0, -1 if re.search(r"文件|合同|采购", head) else 0, 1 if re.match(r"[，。、 ）取]|$|\n", right) else 0)
-    for name, pattern in _WEST:
+    latin = bool(_LATIN.search(t))
+    for name, pattern in _WEST if latin else ():
         for m in pattern.finditer(t):
             a, b = m.span()
             left, right = around(a, b)
             add(a, b, "address", 1, 1 if re.search(r"(?i)at\s*$|bei\s*$|to\s*$|,\s*$|[:：]\s*$|residing|lives", left) else 0, 1 if re.search(r"\d{5}", m[0]) or m[0].count(",") else 0, 1 if name in ("de", "fr", "es") else 0, 0, 1 if re.match(r"[,.;)]|$|\s", right) else 0)
-    _persons(t, add, around)
+    _persons(t, add, around, latin)
     return out
 
 
@@ -190,16 +196,10 @@ _END = re.compile(rf"^(?:$|[\s，。；;、（(）)：:\n]|{AFTER_NAME}|{TITLES}
 _GIVEN_STOP = set("收的了是在有和与及为由于等其各个该此本公司电话手机地址联系身份证号码年月日上下中一二三四五六七八九十百千万元份式正副页无文件名称编号日期投标采购项目供应商设备合同方式")
 
 
-def _persons(t: str, add, around) -> None:
+def _persons(t: str, add, around, latin: bool) -> None:
     n = len(t)
-    for i in range(n):
-        c = t[i]
-        if not "一" <= c <= "鿿":
-            continue
-        two = t[i : i + 2]
-        size = 2 if two in COMPOUND else 1 if c in SURNAMES else 0
-        if not size:
-            continue
+    for m in _FAMILY.finditer(t):
+        i, size = m.start(), len(m[0])
         left = t[max(0, i - 12) : i]
         if not _BEFORE.search(left):
             continue
@@ -220,7 +220,7 @@ def _persons(t: str, add, around) -> None:
                 continue
             after = bool(_AFTER.match(right)) or bool(re.match(r"\s{1,3}[+(]?[\d]{3}", right))
             add(i, e, "person", 1 if strong else 0, 1 if after else 0, 1, -1 if any(g in _GIVEN_STOP for g in given) else 0, -1 if re.match(r"公司|集团|有限|路|街|区|市|省|县", right) else 0, 1 if len(given) == 2 else 0)
-    for m in _LATIN_NAME.finditer(t):
+    for m in _LATIN_NAME.finditer(t) if latin else ():
         a, b = m.span()
         words = re.findall(r"[^\W\d_]+", m[0])
         if any(w in _NOT_NAME for w in words) or _COMPANY_NEAR.match(t[b : b + 12]):

@@ -56,17 +56,25 @@ _MARKS = "\u0300-\u036f\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06e
 _TOKEN = re.compile(rf"[^\W_](?:[\w{_MARKS}'’°-]|\.(?=\w))*$")
 _MARKER = re.compile(r"\s*[(（]?\s*(?:\d{1,3}(?:\.\d{1,3})*|[A-Za-zА-Яа-я]|[ivxIVX]{1,5}|[一二三四五六七八九十]{1,3})\s*[.．)）]$")
 _LEAD = re.compile(r"\s*(?:(?:[(（]\s*(?:\d{1,3}|[A-Za-z]|[ivx]{1,5}|[一二三四五六七八九十]{1,3})\s*[)）]|\d{1,3}[.)、．]|[•·▪◦*–—-]|[一二三四五六七八九十]{1,3}、)\s*)*$")
-_BEFORE = re.compile(r"([^\W\d_](?:[\w'’-]|\.(?=\w))*)\.(?=(\s*)(\S))")
+_STOP = re.compile(r"\.(?=(\s*)(\S))")
+_BACK = re.compile(r"[^\W\d_](?:[\w'’-]|\.(?=\w))*$")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
 
 
+def _stops(text: str) -> Iterator[tuple[str, str, str]]:
+    """(token in small letters, gap, next visible character) of every full stop after a word of up to 40 characters."""
+    for m in _STOP.finditer(text):
+        at = m.start()
+        back = _BACK.search(text, max(0, at - 41), at)
+        if back and at - back.start() <= 40:
+            yield back[0].lower(), m[1], m[2]
+
+
 def evidence(text: str) -> tuple[dict[str, int], dict[str, int]]:
-    """What a document shows by itself: tokens before a period that a small letter or comma follows; words without period."""
+    """What a document shows by itself: tokens before a period that a small letter or comma follows; those tokens without period."""
     short: dict[str, int] = {}
-    for m in _BEFORE.finditer(text):
-        nxt = m[3]
-        if (m[2] and nxt.islower()) or (nxt in ",;:" and not m[2]):
-            key = m[1].lower()
+    for key, gap, nxt in _stops(text):
+        if (gap and nxt.islower()) or (nxt in ",;:" and not gap):
             short[key] = short.get(key, 0) + 1
     plain: dict[str, int] = {}
     if short:
@@ -79,13 +87,8 @@ def evidence(text: str) -> tuple[dict[str, int], dict[str, int]]:
 
 def open_tokens(text: str) -> list[str]:
     """Short tokens before a period and a capital that neither the lists nor the document settle."""
-    short, plain = evidence(text)
-    out = set()
-    for m in _BEFORE.finditer(text):
-        key = m[1].lower()
-        if m[2] and m[3].isupper() and len(key) <= 8 and key not in NEVER and key not in MAY_END and key not in short and key not in plain:
-            out.add(key)
-    return sorted(out)
+    short, _ = evidence(text)
+    return sorted({k for k, gap, nxt in _stops(text) if gap and nxt.isupper() and len(k) <= 8 and k not in NEVER and k not in MAY_END and k not in short})
 
 
 class _Doc:
