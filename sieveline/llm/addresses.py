@@ -8,7 +8,7 @@ token, and a pair holds if the weighted parts of the smaller are contained in th
 
 Cases: null and empty values, and values without house number or street, match nothing; identically written hits and repeated
 rows pair with each other; very long values are read whole; other columns are dropped; an empty table gives an empty table.
-Hits without project match nothing.
+Hits without project or id match nothing.
 """
 
 from __future__ import annotations
@@ -323,7 +323,7 @@ def read(hits: DataFrame) -> DataFrame:
     """(hit_id, project_id, stem, number, kind, city, district, postcode) of every address hit that can be read."""
     spark = hits.sparkSession
     shared = glyphs.shared(spark)
-    src = hits.where((F.col("field") == "address") & F.col("value").isNotNull() & F.col("project_id").isNotNull()).select("hit_id", "project_id", "value")
+    src = hits.where((F.col("field") == "address") & F.col("value").isNotNull() & F.col("project_id").isNotNull() & F.col("hit_id").isNotNull()).select("hit_id", "project_id", "value")
     cities, districts = places(src.select("value"), shared)
     known = spark.sparkContext.broadcast((cities, districts))
 

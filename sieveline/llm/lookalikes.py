@@ -6,7 +6,7 @@ of the tokens of all cells that are in consistent form already, with their count
 spelling. Tokens without reading are normalised by table: ordinary width, composed accents, ordinary Han characters, no invisible
 characters, plain spaces, and look-alikes in the script of the word around them.
 
-Cases: null and empty cells give no row, cells in consistent form neither; words wholly in another script and traditional
+Cases: null and empty cells and rows without id give no row, cells in consistent form neither; words wholly in another script and traditional
 characters stay; runs of spaces keep their length; texts are handled whole; repeated rows under other ids each give their
 rows; other columns are dropped; an empty table gives an empty table.
 """
@@ -201,7 +201,7 @@ def cells(hits: DataFrame) -> DataFrame:
         F.struct(F.lit("value").alias("col_name"), F.coalesce(F.col("field").isin(*LATIN_FIELDS), F.lit(False)).alias("latin"), F.col("value").alias("text")),
         F.struct(F.lit("label").alias("col_name"), F.lit(False).alias("latin"), F.col("label").alias("text")),
     )
-    return hits.select("hit_id", F.explode(parts).alias("x")).select("hit_id", "x.col_name", "x.latin", "x.text").where(F.col("text").isNotNull() & (F.col("text") != ""))
+    return hits.select("hit_id", F.explode(parts).alias("x")).select("hit_id", "x.col_name", "x.latin", "x.text").where(F.col("text").isNotNull() & (F.col("text") != "") & F.col("hit_id").isNotNull())
 
 
 def found(hits: DataFrame, buckets: int | None = None) -> DataFrame:

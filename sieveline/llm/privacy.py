@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.runtime import cut
+
 KINDS = ("email", "phone", "id_number", "address", "person")
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[PERSON]"}
 
@@ -288,11 +290,9 @@ def learn(counts: dict[tuple[str, str], int], rounds: int = 40) -> dict[tuple[st
     return {key: 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w[at[f]] for f in features(*key)))))) for key in counts}
 
 
-def choose(text: str | None, model: dict[tuple[str, str], float], least: float = 0.5) -> list[tuple[int, int, str]]:
-    """The spans of a text that stay, in order, none overlapping."""
-    if not text or text.isspace():
-        return []
-    scored = [(model.get((k, v), 0.0), a, b, k) for a, b, k, v in candidates(text)]
+def stay(spans: list[tuple[int, int, str, str]], model: dict[tuple[str, str], float], least: float = 0.5) -> list[tuple[int, int, str]]:
+    """The candidates that stay, in order, none overlapping."""
+    scored = [(model.get((k, v), 0.0), a, b, k) for a, b, k, v in spans]
     scored = sorted((x for x in scored if x[0] >= least), key=lambda x: (-round(x[0], 1) if x[3] != "person" else -round(x[0], 1) + 0.05, -(x[2] - x[1]), x[1]))
     kept: list[tuple[int, int, str]] = []
     for _, a, b, k in scored:
@@ -301,6 +301,11 @@ def choose(text: str | None, model: dict[tuple[str, str], float], least: float =
     return sorted(kept)
 
 
+def choose(text: str | None, model: dict[tuple[str, str], float], least: float = 0.5) -> list[tuple[int, int, str]]:
+    """The personal spans of a text."""
+    return [] if not text or text.isspace() else stay(candidates(text), model, least)
+
+
 def redact(text: str | None, model: dict[tuple[str, str], float]) -> str | None:
     """The text with typed placeholders; null stays null."""
     if text is None:
@@ -319,42 +324,52 @@ def texts(ocr: DataFrame, pdfs: DataFrame) -> DataFrame:
     return a.unionByName(b).where(F.col("text").isNotNull() & (F.trim("text") != ""))
 
 
-def model_of(rows: DataFrame) -> dict[tuple[str, str], float]:
-    """Counts the voting patterns of all texts (summed by partition first) and learns from them.
+_CANDIDATE = "array<struct<a: int, b: int, kind: string, votes: string, value: string>>"
 
-    What reaches the driver is one row for each voting pattern: at most 3^7 a kind, in practice a few hundred.
+
+def voted(rows: DataFrame) -> DataFrame:
+    """(src, rec_id, page_no, c): the candidates of each text with their votes and values; texts without any are left out.
+
+    One pass over the texts; the result is written, as both the counts and the decision read it.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[str, str], int] = {}
-        for pdf in batches:
-            for t in pdf["text"]:
-                for _, _, k, v in candidates(t):
-                    sums[k, v] = sums.get((k, v), 0) + 1
-        yield pd.DataFrame([(k, v, n) for (k, v), n in sums.items()], columns=["kind", "votes", "n"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in batches:
+            yield pd.Series([[{"a": a, "b": b, "kind": k, "votes": v, "value": t[a:b]} for a, b, k, v in candidates(t)] for t in series], dtype=object)
+
+    return cut(rows.select("src", "rec_id", "page_no", F.pandas_udf(run, _CANDIDATE)("text").alias("c")).where(F.size("c") > 0))
+
 
-    patterns = rows.select("text").mapInPandas(count, "kind string, votes string, n bigint").groupBy("kind", "votes").agg(F.sum("n").alias("n"))
+def model_of(cands: DataFrame) -> dict[tuple[str, str], float]:
+    """Counts the voting patterns of all candidates and learns from them.
+
+    What reaches the driver is one row for each voting pattern: at most 3^7 a kind, in practice a few hundred.
+    """
+    patterns = cands.select(F.explode("c").alias("x")).groupBy("x.kind", "x.votes").agg(F.count("*").alias("n"))
     return learn({(r.kind, r.votes): r.n for r in patterns.collect()})
 
 
 def found(rows: DataFrame) -> DataFrame:
     """(src, rec_id, page_no, kind, value_text): each distinct personal value of each text of :func:`texts`."""
-    model = rows.sparkSession.sparkContext.broadcast(model_of(rows))
+    cands = voted(rows)
+    model = rows.sparkSession.sparkContext.broadcast(model_of(cands))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
             out = []
-            for t in series:
-                out.append([{"kind": k, "value_text": v} for k, v in dict.fromkeys((k, t[a:b]) for a, b, k in choose(t, model.value))])
+            for spans in series:
+                value = {(x["a"], x["b"], x["kind"]): x["value"] for x in spans}
+                kept = stay([(x["a"], x["b"], x["kind"], x["votes"]) for x in spans], model.value)
+                out.append([{"kind": k, "value_text": v} for k, v in dict.fromkeys((x[2], value[x]) for x in kept)])
             yield pd.Series(out, dtype=object)
 
-    values = F.pandas_udf(run, "array<struct<kind: string, value_text: string>>")("text")
-    return rows.select("src", "rec_id", "page_no", F.explode(values).alias("x")).select("src", "rec_id", "page_no", "x.kind", "x.value_text")
+    values = F.pandas_udf(run, "array<struct<kind: string, value_text: string>>")("c")
+    return cands.select("src", "rec_id", "page_no", F.explode(values).alias("x")).select("src", "rec_id", "page_no", "x.kind", "x.value_text")
 
 
 def redacted(rows: DataFrame) -> DataFrame:
     """(src, rec_id, page_no, clean_text): each text of :func:`texts` with typed placeholders."""
-    model = rows.sparkSession.sparkContext.broadcast(model_of(rows))
+    model = rows.sparkSession.sparkContext.broadcast(model_of(voted(rows)))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:

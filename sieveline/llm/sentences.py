@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -61,21 +61,21 @@ _BACK = re.compile(r"[^\W\d_](?:[\w'’-]|\.(?=\w))*$")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
 
 
-def _stops(text: str) -> Iterator[tuple[str, str, str]]:
-    """(token in small letters, gap, next visible character) of every full stop after a word of up to 40 characters."""
+def _stops(text: str, wanted: Callable[[str, str], bool]) -> Iterator[str]:
+    """Token in small letters before every full stop whose gap and next visible character are wanted; up to 40 characters."""
     for m in _STOP.finditer(text):
-        at = m.start()
-        back = _BACK.search(text, max(0, at - 41), at)
-        if back and at - back.start() <= 40:
-            yield back[0].lower(), m[1], m[2]
+        if wanted(m[1], m[2]):
+            at = m.start()
+            back = _BACK.search(text, max(0, at - 41), at)
+            if back and at - back.start() <= 40:
+                yield back[0].lower()
 
 
 def evidence(text: str) -> tuple[dict[str, int], dict[str, int]]:
     """What a document shows by itself: tokens before a period that a small letter or comma follows; those tokens without period."""
     short: dict[str, int] = {}
-    for key, gap, nxt in _stops(text):
-        if (gap and nxt.islower()) or (nxt in ",;:" and not gap):
-            short[key] = short.get(key, 0) + 1
+    for key in _stops(text, lambda gap, nxt: nxt.islower() if gap else nxt in ",;:"):
+        short[key] = short.get(key, 0) + 1
     plain: dict[str, int] = {}
     if short:
         for m in _WORD.finditer(text):
@@ -88,13 +88,13 @@ def evidence(text: str) -> tuple[dict[str, int], dict[str, int]]:
 def open_tokens(text: str) -> list[str]:
     """Short tokens before a period and a capital that neither the lists nor the document settle."""
     short, _ = evidence(text)
-    return sorted({k for k, gap, nxt in _stops(text) if gap and nxt.isupper() and len(k) <= 8 and k not in NEVER and k not in MAY_END and k not in short})
+    return sorted({k for k in _stops(text, lambda gap, nxt: bool(gap) and nxt.isupper()) if len(k) <= 8 and k not in NEVER and k not in MAY_END and k not in short})
 
 
 class _Doc:
     def __init__(self, text: str, corpus: frozenset[str]):
         self.text, self.corpus = text, corpus
-        self.short, self.plain = evidence(text)
+        self._seen: tuple[dict[str, int], dict[str, int]] | None = None
         self._small: set[str] | None = None
 
     def is_name(self, word: str) -> bool:
@@ -105,8 +105,11 @@ class _Doc:
 
     def abbreviation(self, key: str, capital: bool) -> bool:
         """By the document's own evidence; before a capital, where it has none, by that of the corpus."""
-        if key in self.short:
-            return self.short[key] > self.plain.get(key, 0)
+        if self._seen is None:
+            self._seen = evidence(self.text)
+        short, plain = self._seen
+        if key in short:
+            return short[key] > plain.get(key, 0)
         return capital and len(key) <= 8 and key in self.corpus
 
 

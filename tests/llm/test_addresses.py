@@ -54,7 +54,7 @@ def test_close():
 
 
 def test_frame(spark):
-    rows = [(i, "P", "address", t) for i, t in enumerate(SAME + SAME[:2])] + [(50, "Q", "address", SAME[0]), (51, "P", "phone", SAME[0]), (52, "P", "address", None), (53, "P", "address", ""), (54, "P", "address", "见附件" * 5000), (55, None, "address", SAME[0]), (56, "P", "address", "澄江省凌波市竹径区枕流大道58号")]
+    rows = [(i, "P", "address", t) for i, t in enumerate(SAME + SAME[:2])] + [(50, "Q", "address", SAME[0]), (51, "P", "phone", SAME[0]), (52, "P", "address", None), (53, "P", "address", ""), (54, "P", "address", "见附件" * 5000), (55, None, "address", SAME[0]), (None, "P", "address", SAME[0]), (56, "P", "address", "澄江省凌波市竹径区枕流大道58号")]
     df = spark.createDataFrame(rows, "hit_id long, project_id string, field string, value string").selectExpr("*", "'x' AS place", "1 AS number")
     got = sorted((r.hit_a, r.hit_b) for r in A.found(df).collect())
     assert got == list(itertools.combinations(range(10), 2))

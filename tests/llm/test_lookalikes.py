@@ -76,7 +76,7 @@ def test_edit_costs(token, most):
 
 
 def test_frame(spark):
-    rows = [(1, "contact_name", "Н. Polmarard", None), (2, "contact_name", "H. Polmarard", "Name"), (3, "company_name", "ООО «Дом»", ""), (4, "phone", None, "电话："), (5, "uscc", "АВ12", "x"), (6, "company_name", "АВ12x", "x"), (7, "address", "х " + "街" * 50_000 + "ロ", "x"), (8, None, "ａ", None)]
+    rows = [(1, "contact_name", "Н. Polmarard", None), (2, "contact_name", "H. Polmarard", "Name"), (3, "company_name", "ООО «Дом»", ""), (4, "phone", None, "电话："), (5, "uscc", "АВ12", "x"), (6, "company_name", "АВ12x", "x"), (7, "address", "х " + "街" * 50_000 + "ロ", "x"), (8, None, "ａ", None), (None, "phone", "１", None)]
     df = spark.createDataFrame(rows, "hit_id long, field string, value string, label string").selectExpr("*", "'c' AS clean_text", "0 AS n")
     got = {(r.hit_id, r.col_name): r.clean_text for r in K.found(df, 3).collect()}
     assert got.pop((7, "value"))[-3:] == "街街口"
