@@ -1,9 +1,9 @@
 """Variant spellings of organisation and person names inside projects.
 
 Names are read into tokens (core, business, city, branch of organisations; given and family names of persons, as readings in Latin
-letters so that scripts and homophones meet). A symmetric-delete index over the main token finds names within a small edit of a
-more frequent one; inside the groups so formed names are aligned token by token by optimal assignment, which permits initials,
-abbreviations and missing parts but no contradiction. Names cut down to a family name or to initials are joined to the only
+letters so that scripts and homophones meet). A symmetric-delete index over the main token finds all more frequent ones within a
+small edit; inside the components so formed names are aligned token by token by optimal assignment with every class in reach,
+which permits initials, abbreviations and missing parts but no contradiction. Names cut down to a family name or to initials are joined to the only
 person of their supplier, or else of the project, that they can mean.
 
 Cases: null, empty and unreadable names match nothing; each distinct stored string counts once a project, however many rows hold
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm import addresses, glyphs
 from sieveline.llm.lookalikes import Table
+from sieveline.llm.neighbours import MOST, Classes, components, reaches
 from sieveline.llm.privacy import COMPOUND, SURNAMES
 from sieveline.runtime import cut
 
@@ -339,15 +340,18 @@ def parsed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     return distinct.select("project_id", "name", role.alias("role"), "n").mapInPandas(run, SCHEMA)
 
 
-def org_classes(rows: list[tuple[str, str, str, str, str, int]]) -> list[int]:
-    """Class of each (core, business, city, branch, name, n) of one project and main token, fullest and most frequent first."""
+def org_classes(rows: list[tuple[str, str, str, str, str, int, frozenset]]) -> list[int]:
+    """Class of each (core, business, city, branch, name, n, reach) of one component, fullest and most frequent first: of all
+    classes in reach the best of those that contradict nothing."""
     order = sorted(range(len(rows)), key=lambda i: (-bool(rows[i][1]) - bool(rows[i][2]), -rows[i][5], rows[i][4]))
     heads: list[dict] = []
+    known = Classes()
     out = [-1] * len(rows)
     for i in order:
-        core, business, city, branch, _, n = rows[i]
+        core, business, city, branch, _, n, reach = rows[i]
         fits = []
-        for h, head in enumerate(heads):
+        for h in known.near(reach):
+            head = heads[h]
             if head["branch"] != branch or (business and head["business"] and business != head["business"]) or (city and head["city"] and city != head["city"]):
                 continue
             tokens = [t for t in (core, business, city) if t]
@@ -357,23 +361,26 @@ def org_classes(rows: list[tuple[str, str, str, str, str, int]]) -> list[int]:
             h = -max(fits)[3]
             head = heads[h]
             head["business"], head["city"], head["n"] = head["business"] or business, head["city"] or city, head["n"] + n
+            known.join(h, reach)
         else:
-            h = len(heads)
+            h = known.add(reach)
             heads.append({"core": core, "business": business, "city": city, "branch": branch, "n": n})
         out[i] = h
     return out
 
 
-def person_classes(rows: list[tuple[str, str, str, str, int]]) -> list[int]:
-    """Class of each (family character, kind, key, name, n): names in characters differ by family name, readings join the
+def person_classes(rows: list[tuple[str, str, str, str, int, frozenset]]) -> list[int]:
+    """Class of each (family character, kind, key, name, n, reach): names in characters differ by family name, readings join the
     most frequent one, western names must align."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][1] != "han", -rows[i][4], rows[i][3]))
     heads: list[list] = []
+    known = Classes()
     out = [-1] * len(rows)
     for i in order:
-        family, kind, key, _, n = rows[i]
+        family, kind, key, _, n, reach = rows[i]
         best = None
-        for h, (hf, hk, hkey, hn) in enumerate(heads):
+        for h in known.near(reach):
+            hf, hk, hkey, hn = heads[h]
             if kind == "han" and hk == "han":
                 ok = family == hf and key == hkey
             elif kind == "west" or hk == "west":
@@ -384,9 +391,10 @@ def person_classes(rows: list[tuple[str, str, str, str, int]]) -> list[int]:
                 best = h
         if best is None:
             heads.append([family, kind, key, n])
-            best = len(heads) - 1
+            best = known.add(reach)
         else:
             heads[best][3] += n
+            known.join(best, reach)
         out[i] = best
     return out
 
@@ -396,34 +404,37 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     rows = cut(rows)
     p = cut(parsed(rows, cities))
     main = p.where("kind <> 'i'")
-    # the index: keys under which tokens are found, with the most frequent token of each key
-    # tokens and keys are compared as hashes inside their project: a token's id has 43 bits, and one number holds its
-    # frequency (for choosing, up to a million) above its id, so that the sums stay in fixed-width buffers
+    # the index: keys under which tokens are found. Tokens and keys are compared as hashes inside their project: a token's id has
+    # 43 bits, and one number holds its frequency (up to a million) above its id. Every pair of a token and a more frequent
+    # neighbour is kept; which of them it is a variant of is decided by its names
     ident = F.xxhash64("kind", "key").bitwiseAND(F.lit(_MASK))
     strict = (F.col("kind") == "p") & (F.col("business") != "west")
     tokens = main.groupBy("project_id", "kind", "key").agg(F.max("parts").alias("parts"), F.min(strict).alias("strict"), F.sum("n").alias("n")).withColumn("id", ident)
-    code = F.shiftleft(F.least("n", F.lit(2**20 - 1).cast("bigint")), 43).bitwiseOR(F.col("id"))
-    keyed = lambda keys: F.transform(F.expr(keys), lambda k: F.xxhash64("kind", k))
-    index = tokens.select("project_id", code.alias("code"), F.explode(keyed(NEAR)).alias("k")).groupBy("project_id", "k").agg(F.max("code").alias("top"))
-    asked = tokens.select("project_id", "id", F.explode(keyed(ASK)).alias("k"))
-    token = asked.join(index, ["project_id", "k"]).groupBy("project_id", "id").agg(F.max("top").bitwiseAND(F.lit(_MASK)).alias("head"))
-    # a token that was chosen by its own head goes with the head's choice, so that chains of two end in one place
-    again = token.select("project_id", F.col("id").alias("head"), F.col("head").alias("head2"))
-    token = token.join(again, ["project_id", "head"]).select("project_id", "id", F.col("head2").alias("head"))
+    code = F.shiftleft(F.least("n", F.lit(MOST).cast("bigint")), 43).bitwiseOR(F.col("id"))
+    # the key J: is the token itself
+    keyed = lambda keys: F.explode(F.transform(F.filter(F.expr(keys), lambda k: ~k.startswith("J:")), lambda k: F.xxhash64("kind", k)))
+    index = tokens.select("project_id", code.alias("over"), keyed(NEAR).alias("k"))
+    asked = tokens.select("project_id", code.alias("code"), keyed(ASK).alias("k"))
+    low = lambda c: F.col(c).bitwiseAND(F.lit(_MASK))
+    edges = cut(asked.join(index, ["project_id", "k"]).where("over > code").select("project_id", low("code").alias("id"), low("over").alias("up")).distinct())
+    ups = edges.groupBy("project_id", "id").agg(F.collect_list("up").alias("ups"))
+    token = components(edges, ["project_id"]).join(ups, ["project_id", "id"], "left")
 
     def group(kinds: pd.Series, heads: pd.Series, members: pd.Series) -> pd.Series:
         out = []
         for kind, head, rows in zip(kinds, heads, members):
+            reach = reaches([int(r["id"]) for r in rows], [int(r["n"]) for r in rows], [[int(u) for u in r["ups"]] for r in rows])
             if kind == "o":
-                cls = org_classes([(r["core"], r["business"], r["city"], r["branch"], r["name"], int(r["n"])) for r in rows])
+                cls = org_classes([(r["core"], r["business"], r["city"], r["branch"], r["name"], int(r["n"]), x) for r, x in zip(rows, reach)])
             else:
-                cls = person_classes([(r["core"], r["business"], r["key"], r["name"], int(r["n"])) for r in rows])
+                cls = person_classes([(r["core"], r["business"], r["key"], r["name"], int(r["n"]), x) for r, x in zip(rows, reach)])
             out.append([{"name": r["name"], "family": r["family"], "given": r["given"], "entity": f"{kind}:{head}:{c}"} for r, c in zip(rows, cls)])
         return pd.Series(out, dtype=object)
 
-    member = F.struct("key", "name", "core", "business", "city", "branch", "family", "given", "n")
-    # a group holds the distinct strings of one main token in one project, not their rows; most hold one and need no Python
-    groups = main.select("project_id", "kind", ident.alias("id"), member.alias("m")).join(token, ["project_id", "id"]).groupBy("project_id", "kind", "head").agg(F.collect_list("m").alias("members"))
+    # a group holds the distinct strings of one component of tokens in one project, not their rows; most hold one and need no Python
+    placed = main.withColumn("id", ident).join(token, ["project_id", "id"], "left")
+    member = F.struct("id", F.coalesce("ups", F.array().cast("array<bigint>")).alias("ups"), "key", "name", "core", "business", "city", "branch", "family", "given", "n")
+    groups = placed.select("project_id", "kind", F.coalesce("head", "id").alias("head"), member.alias("m")).groupBy("project_id", "kind", "head").agg(F.collect_list("m").alias("members"))
     groups = cut(groups)
     classes = F.pandas_udf(group, "array<struct<name: string, family: string, given: string, entity: string>>")("kind", "head", "members")
     many = groups.where(F.size("members") > 1).select("project_id", "kind", F.explode(classes).alias("x")).select("project_id", "kind", "x.*")

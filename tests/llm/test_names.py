@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from sieveline.llm import glyphs
 from sieveline.llm import names as N
+from sieveline.llm import neighbours
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +82,25 @@ def test_frame(spark):
         want |= {("P", *sorted(p)) for p in itertools.combinations(names, 2)}
     assert got == want, (got - want, want - got)
     assert N.found(hits.limit(0), decisions.limit(0), subjects.limit(0)).count() == 0
+
+
+def test_every_neighbour_is_tried(spark):
+    """A head that contradicts does not hide a rarer one, nor chains of more than two."""
+    texts = {
+        "雁门滩腾文光园林绿化有限公司": 9, "青岚腾文海环境工程有限公司": 5, "青岚文海环境工程有限公司": 3, "青岚腾文环境工程有限公司": 1, "雁门滩腾文园林绿化有限公司": 1,
+        "Abcdefghijk Ltd.": 9, "Abcdefghijkl Ltd.": 7, "Abcdefghijklm Ltd.": 5, "Abcdefghijklmn Ltd.": 3, "Abcdefghijklmno Ltd.": 1,
+    }
+    rows = [("P", "company_name", t, "D1") for t, n in texts.items() for _ in range(n)]
+    rows += [("P", "address", f"南屿省{c}市渔歌区银杏路214号", None) for c in ("雁门滩", "青岚") for _ in range(3)]
+    hits = spark.createDataFrame(rows, "project_id string, field string, value string, supplier_dir string")
+    decisions = spark.createDataFrame([], "project_id string, field string, normalized string, scope string")
+    got = {(r.name_a, r.name_b) for r in N.found(hits, decisions, spark.createDataFrame([], "project_id string, name string")).collect()}
+    t = list(texts)
+    want = {tuple(sorted(p)) for group in ([t[0], t[4]], t[1:4], t[5:]) for p in itertools.combinations(group, 2)}
+    assert got == want, (got - want, want - got)
+
+
+def test_an_ambiguous_variant_does_not_join_its_heads():
+    a, b, v = frozenset([1]), frozenset([2]), frozenset([1, 2, 3])
+    assert N.org_classes([("ab", "", "", "", "a", 9, a), ("ac", "", "", "", "b", 5, b), ("a", "x", "y", "", "v", 1, v)]) == [0, 1, 0]
+    assert neighbours.reaches([1, 2, 3, 3], [9, 5, 1, 1], [[], [1], [2], [2]]) == [frozenset([1]), frozenset([1, 2]), frozenset([1, 2, 3]), frozenset([1, 2, 3])]
