@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm import glyphs
 from sieveline.llm.lookalikes import Table
+from sieveline.llm.neighbours import MOST, Classes, components, reaches
 from sieveline.runtime import cut
 
 #: Weights of components in the containment test.
@@ -273,29 +274,41 @@ def contained(small: Address, full: Address) -> bool:
     return got >= CONTAINED * total - (WEIGHTS["kind"] + WEIGHTS["city"] if not full.city or not full.kind else 0)
 
 
-def classes(rows: list[tuple[Address, int]]) -> list[int]:
-    """Class of each address among those of one project, number and street: containment probed from the fullest down."""
+def classes(rows: list[tuple[Address, int]], reach: list[frozenset] | None = None) -> list[int]:
+    """Class of each address among those of one project, number and component of stems: containment probed from the fullest
+    down, in all classes in reach of its stem (all at all where no reach is given). The stem must be close to that of any
+    member, everything else must be contained in the head."""
+    reach = reach or [frozenset(("",))] * len(rows)
     order = sorted(range(len(rows)), key=lambda i: (-bool(rows[i][0].city) - bool(rows[i][0].kind), -rows[i][1], str(rows[i][0])))
     heads: list[list[int]] = []
+    stems: list[set[str]] = []
+    known = Classes()
     out = [-1] * len(rows)
     for i in order:
         a = rows[i][0]
         fits = []
-        for h, members in enumerate(heads):
+        for h in known.near(reach[i]):
+            members = heads[h]
             head = rows[members[0]][0]
-            if contained(a, head) or (contained(head, a) and not (head.city and head.kind)):
+            if not any(close(a.stem, s) for s in stems[h]):
+                continue
+            b = replace(a, stem=head.stem)
+            if contained(b, head) or (contained(head, b) and not (head.city and head.kind)):
                 near = sum(1 for j in members if a.postcode and rows[j][0].postcode == a.postcode) + sum(1 for j in members if a.district and rows[j][0].district == a.district)
                 fits.append((near > 0, sum(rows[j][1] for j in members), -h))
         if fits:
             h = -max(fits)[2]
             heads[h].append(i)
+            stems[h].add(a.stem)
+            known.join(h, reach[i])
             # an address with a part more than its head becomes the head
             head = rows[heads[h][0]][0]
             if bool(a.city) + bool(a.kind) > bool(head.city) + bool(head.kind):
                 heads[h].insert(0, heads[h].pop())
         else:
             heads.append([i])
-            h = len(heads) - 1
+            stems.append({a.stem})
+            h = known.add(reach[i])
         out[i] = h
     return out
 
@@ -345,22 +358,26 @@ def classed(hits: DataFrame) -> DataFrame:
     parsed = read(hits)
     form = ["project_id", "number", "stem", "kind", "city", "district", "postcode"]
     forms = parsed.groupBy(*form).agg(F.count("*").alias("n"))
-    # the index token: street with number; a stem meets the most frequent one at one edit through a shared deletion variant
-    stems = forms.groupBy("project_id", "number", "stem").agg(F.sum("n").alias("n"))
-    keyed = stems.withColumn("key", F.explode(F.expr(VARIANTS)))
-    top = keyed.groupBy("project_id", "number", "key").agg(F.max(F.struct("n", "stem")).alias("top"))
-    chosen = keyed.join(top, ["project_id", "number", "key"]).groupBy("project_id", "number", "stem").agg(F.max("top").alias("top"))
-    token = chosen.select("project_id", "number", "stem", F.col("top.stem").alias("street"))
+    # the index token: street with number; a stem meets every more frequent one that shares a deletion variant
+    where = ["project_id", "number"]
+    stems = forms.groupBy(*where, "stem").agg(F.least(F.sum("n"), F.lit(MOST).cast("bigint")).alias("n"))
+    keyed = cut(stems.withColumn("key", F.explode(F.expr(VARIANTS))))
+    over = keyed.select(*where, "key", F.struct("n", "stem").alias("over"))
+    edges = cut(keyed.join(over, [*where, "key"]).where(F.col("over") > F.struct("n", "stem")).select(*where, F.col("stem").alias("id"), F.col("over.stem").alias("up")).distinct())
+    ups = edges.groupBy(*where, "id").agg(F.collect_list("up").alias("ups"))
+    token = components(edges, where).join(ups, [*where, "id"], "left").withColumnRenamed("id", "stem")
 
     def group(groups: pd.Series) -> pd.Series:
         out = []
         for rows in groups:
-            cls = classes([(Address(r["stem"], int(r["number"]), r["kind"], r["city"], r["district"], r["postcode"]), int(r["n"])) for r in rows])
+            reach = reaches([r["stem"] for r in rows], [int(r["n"]) for r in rows], [list(r["ups"]) for r in rows])
+            cls = classes([(Address(r["stem"], int(r["number"]), r["kind"], r["city"], r["district"], r["postcode"]), int(r["n"])) for r in rows], reach)
             out.append([{**{k: r[k] for k in form[2:]}, "cls": c} for r, c in zip(rows, cls)])
         return pd.Series(out, dtype=object)
 
-    # a group holds the distinct spellings of one street and number in one project, not their hits
-    grouped = forms.join(token, ["project_id", "number", "stem"]).groupBy("project_id", "number", "street").agg(F.collect_list(F.struct(*form[1:], "n")).alias("rows"))
+    # a group holds the distinct spellings of one number and component of stems in one project, not their hits
+    linked = forms.join(token, [*where, "stem"], "left").withColumn("ups", F.coalesce("ups", F.array().cast("array<string>")))
+    grouped = linked.groupBy(*where, F.coalesce("head", "stem").alias("street")).agg(F.collect_list(F.struct(*form[1:], "n", "ups")).alias("rows"))
     ones = F.pandas_udf(group, "array<struct<stem: string, kind: string, city: string, district: string, postcode: string, cls: int>>")("rows")
     placed = grouped.select("project_id", "number", "street", F.explode(ones).alias("x")).select("project_id", "number", "street", "x.*")
     place = F.concat_ws("|", F.col("number").cast("string"), "street", F.col("cls").cast("string"))

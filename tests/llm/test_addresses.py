@@ -65,3 +65,14 @@ def test_slices_keep_every_pair(spark):
     df = spark.createDataFrame([("p", i) for i in range(60)] + [("q", i) for i in range(5)], "k string, m long")
     got = sorted((r.k, r.a, r.b) for r in A.pairs_within(df, ["k"], "m", hot=7).collect())
     assert got == sorted([("p", a, b) for a, b in itertools.combinations(range(60), 2)] + [("q", a, b) for a, b in itertools.combinations(range(5), 2)])
+
+
+def test_every_neighbouring_street_is_tried(spark):
+    """A mistyped stem near a more frequent street of another city still meets its own street; chains go on to the end."""
+    texts = {"9 Tonebridg Road, Northville": 9, "9 Stonebridge Road, Southtown": 5, "9 Stonebridg Road, Southtown": 1}
+    chain = {"5 Abcdefgh Road": 9, "5 Abcdefghi Road": 7, "5 Abcdefghij Road": 5, "5 Abcdefghijk Road": 3, "5 Abcdefghijkl Road": 1}
+    forms = [t for t, n in (texts | chain).items() for _ in range(n)]
+    hits = spark.createDataFrame([(i, "P", "address", t) for i, t in enumerate(forms)], "hit_id long, project_id string, field string, value string")
+    got = {frozenset((forms[r.hit_a], forms[r.hit_b])) for r in A.found(hits).collect()}
+    pairs = lambda names: {frozenset(p) for p in itertools.combinations(names, 2)}
+    assert {p for p in got if len(p) == 2} == pairs(list(texts)[1:]) | pairs(chain)
