@@ -16,8 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Years for which zone offsets are listed.
-FIRST_YEAR, LAST_YEAR = 1970, 2100
+#: Years for which zone offsets are listed: from before any zone left its mean local time, to the end of a cycle of 28 years in
+#: which the rules of every zone go on unchanged.
+FIRST_YEAR, LAST_YEAR = 1800, 2128
 #: Zones of countries that write the month before the day in 03/04/2025 (United States and territories, fixed values).
 MONTH_FIRST_COUNTRIES = ("US", "PR", "GU", "VI", "AS", "MP", "UM")
 #: Month names by their first letters after accents are removed (fixed values).
@@ -145,7 +146,7 @@ def zone_intervals(zones: DataFrame, column: str = "tz_name") -> DataFrame:
 
     Rows: tz_name, year, month_first, spans array<struct<lo, hi, offset_s, abbr>> in local microseconds, ordered by UTC. A
     span is listed under every local year it touches (and the neighbours of its edges). The number of zones is bounded by the
-    time-zone database (about 600), and so is the table: at most 600 x 131 rows of a few spans each, whatever the input.
+    time-zone database (about 600), and so is the table: at most 600 x 329 rows of a few spans each, whatever the input.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,7 +184,7 @@ def _us_links() -> tuple[str, ...]:
 
 
 def transitions(name: str) -> list[tuple[int, int, int, str]]:
-    """(UTC second from, UTC second to, offset, abbreviation) of a zone, without gaps, from 1969 to LAST_YEAR."""
+    """(UTC second from, UTC second to, offset, abbreviation) of a zone, without gaps, open at both ends."""
     from zoneinfo import ZoneInfo
 
     zone, utc = ZoneInfo(name), dt.timezone.utc
@@ -225,6 +226,22 @@ def _spans(name: str) -> list[tuple]:
     return rows
 
 
+def _alike(year: int) -> int:
+    """The listed year of the last cycle that has the days of ``year``: leap day and days of the week."""
+    kind = lambda y: (dt.date(y, 1, 1).weekday(), dt.date(y, 12, 31).weekday())
+    return next(y for y in range(LAST_YEAR - 27, LAST_YEAR + 1) if kind(y) == kind(year))
+
+
+def _listed(local_us: Column) -> tuple[Column, Column]:
+    """(listed year, that time in it): itself inside the list; earlier times stand under the first year, whose first interval is
+    open; later ones move to the year of the last cycle with the same days, as rules go by month and day of the week."""
+    year = F.year(F.timestamp_micros(local_us))
+    alike = F.element_at(F.array(*[F.lit(_alike(2400 + k)) for k in range(400)]), F.pmod(year, F.lit(400)) + 1)
+    day = lambda y: F.unix_date(F.make_date(y, F.lit(1), F.lit(1))).cast("bigint")
+    moved = local_us - (day(year) - day(alike)) * F.lit(86_400_000_000)
+    return F.when(year > LAST_YEAR, alike).otherwise(F.greatest(year, F.lit(FIRST_YEAR))), F.when(year > LAST_YEAR, moved).otherwise(local_us)
+
+
 def to_utc(df: DataFrame, text: str, zone: str | None, out: str = "utc_us", zones: DataFrame | None = None) -> DataFrame:
     """Adds ``out``: microseconds since 1970 in UTC of each written moment, null where it denotes none.
 
@@ -238,12 +255,13 @@ def to_utc(df: DataFrame, text: str, zone: str | None, out: str = "utc_us", zone
     per_zone = F.broadcast(table.select(F.col("tz_name").alias("__tz"), F.col("year").alias("__y"), F.col("month_first").alias("__mf"), F.col("spans").alias("__spans")))
     first = F.col(zone).isin(*sorted(month_first_zones()))
     p = with_parsed(df, text, F.coalesce(first, F.lit(False)))
-    p = p.withColumn("__year", F.year(F.timestamp_micros(F.col("__p.local_us"))))
+    year, at = _listed(F.col("__p.local_us"))
+    p = p.withColumn("__year", year).withColumn("__at", at)
     j = p.join(per_zone, (F.col(zone) == F.col("__tz")) & (F.col("__year") == F.col("__y")), "left")
     x, us = F.col("__p"), F.lit(1_000_000).cast("bigint")
     t = x["local_us"]
-    inside = F.filter("__spans", lambda s: (s["lo"] <= t) & (t < s["hi"]))
-    before = F.filter("__spans", lambda s: s["hi"] <= t)
+    inside = F.filter("__spans", lambda s: (s["lo"] <= F.col("__at")) & (F.col("__at") < s["hi"]))
+    before = F.filter("__spans", lambda s: s["hi"] <= F.col("__at"))
     named = F.filter("__spans", lambda s: s["abbr"] == x["abbr"])
     by_zone = F.when(F.size(inside) >= 1, t - inside[0]["offset_s"] * us).when(F.size(before) >= 1, t - F.element_at(before, -1)["offset_s"] * us)
     value = (
@@ -252,15 +270,16 @@ def to_utc(df: DataFrame, text: str, zone: str | None, out: str = "utc_us", zone
         .when(x["abbr"].isNotNull(), F.when(F.size(named) >= 1, t - named[0]["offset_s"] * us))
         .otherwise(by_zone)
     )
-    return j.withColumn(out, value).drop("__p", "__year", "__tz", "__y", "__mf", "__spans")
+    return j.withColumn(out, value).drop("__p", "__year", "__at", "__tz", "__y", "__mf", "__spans")
 
 
 def matches(df: DataFrame, text: str, zone: str) -> DataFrame:
     """How each local time meets its zone's intervals: adds ``n_intervals`` (2 ambiguous, 0 nonexistent, 1 direct)."""
     table = F.broadcast(zone_intervals(df, zone).select(F.col("tz_name").alias("__tz"), F.col("year").alias("__y"), F.col("spans").alias("__spans")))
-    p = with_parsed(df, text, F.coalesce(F.col(zone).isin(*sorted(month_first_zones())), F.lit(False))).withColumn("__t", F.col("__p.local_us")).drop("__p")
-    j = p.join(table, (F.col(zone) == F.col("__tz")) & (F.year(F.timestamp_micros("__t")) == F.col("__y")), "left")
-    return j.withColumn("n_intervals", F.size(F.filter("__spans", lambda s: (s["lo"] <= F.col("__t")) & (F.col("__t") < s["hi"])))).drop("__t", "__tz", "__y", "__spans")
+    year, at = _listed(F.col("__p.local_us"))
+    p = with_parsed(df, text, F.coalesce(F.col(zone).isin(*sorted(month_first_zones())), F.lit(False))).withColumn("__year", year).withColumn("__t", at).drop("__p")
+    j = p.join(table, (F.col(zone) == F.col("__tz")) & (F.col("__year") == F.col("__y")), "left")
+    return j.withColumn("n_intervals", F.size(F.filter("__spans", lambda s: (s["lo"] <= F.col("__t")) & (F.col("__t") < s["hi"])))).drop("__t", "__year", "__tz", "__y", "__spans")
 
 
 #: (table, id column, [(written moment, its field name)], zone column)

@@ -70,3 +70,19 @@ def test_zone_transitions_agree_with_zoneinfo():
     for sec in range(0, 1_900_000_000, 7_777_777):
         want = dt.datetime.fromtimestamp(sec, ZoneInfo("Europe/Paris")).utcoffset().total_seconds()
         assert [o for a, b, o, _ in spans if a <= sec < b] == [want]
+
+
+def test_years_beyond_the_list(spark):
+    from zoneinfo import ZoneInfo
+
+    zones = ["UTC", "Europe/Berlin", "America/New_York", "Australia/Sydney", "Africa/Casablanca", "Asia/Shanghai"]
+    times = [(y, m, d) for y in (1100, 1799, 1850, 1899, 1941, 1965, 1969, 2100, 2101, 2128, 2129, 2150, 2200, 2396, 2400, 5003, 9998) for m, d in ((1, 1), (3, 28), (7, 1), (10, 30), (12, 31))]
+    df = spark.createDataFrame([(f"{y:04}-{m:02}-{d:02} 12:00:00", z) for y, m, d in times for z in zones], "text string, tz string")
+    for r in M.to_utc(df, "text", "tz").collect():
+        at = dt.datetime.fromisoformat(r.text).replace(tzinfo=ZoneInfo(r.tz))
+        want = at.replace(tzinfo=None) - at.utcoffset() - dt.datetime(1970, 1, 1)
+        assert r.utc_us == want // dt.timedelta(microseconds=1), (r.text, r.tz)
+    meta = spark.createDataFrame([("D:19690101120000",)], "text string")
+    assert M.to_utc(meta, "text", None).first().utc_us == -364 * 86_400_000_000 - 43_200_000_000
+    ways = spark.createDataFrame([("2150-11-01 01:30:00", "America/New_York"), ("2150-03-08 02:30:00", "America/New_York")], "text string, tz string")
+    assert [r.n_intervals for r in M.matches(ways, "text", "tz").collect()] == [2, 0]
