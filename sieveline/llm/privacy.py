@@ -195,13 +195,23 @@ _BEFORE = re.compile(rf"(?:^|[\s，。；;：:（(、]|{BEFORE_NAME})$")
 _STRONG_BEFORE = re.compile(rf"(?:{BEFORE_NAME})\s?$")
 _AFTER = re.compile(rf"^\s?(?:{AFTER_NAME})")
 _END = re.compile(rf"^(?:$|[\s，。；;、（(）)：:\n]|{AFTER_NAME}|{TITLES})")
+#: Labels after which a name stands whatever its family name is.
+_LABEL = re.compile(r"(?:联系人[为是]?|法人代表|法定代表人|授权代表|收件人|证人|姓名|经办人|负责人|签署人|代理人)\s?[：:]?\s?(?=[一-鿿])")
 _GIVEN_STOP = set("收的了是在有和与及为由于等其各个该此本公司电话手机地址联系身份证号码年月日上下中一二三四五六七八九十百千万元份式正副页无文件名称编号日期投标采购项目供应商设备合同方式")
 
+#: First characters of words that stand after a label where no name is given.
+_NO_FAMILY = _GIVEN_STOP | set("见附另无暂待详如略空未不请或且均应可并已须需将以从向对把被让使而则即若但必自我你他她它签")
+#: Last characters of offices, which stand after a label instead of a name.
+_OFFICE = re.compile("[部室处科组局厅院所站店厂队]$")
+
 
 def _persons(t: str, add, around, latin: bool) -> None:
     n = len(t)
-    for m in _FAMILY.finditer(t):
-        i, size = m.start(), len(m[0])
+    listed = [(m.start(), len(m[0]), 1) for m in _FAMILY.finditer(t)]
+    # after a strong context a family name need not be in the list
+    taken = {i for i, _, _ in listed}
+    listed += [(m.end(), 1, 0) for m in _LABEL.finditer(t) if m.end() not in taken and t[m.end()] not in _NO_FAMILY]
+    for i, size, known in listed:
         left = t[max(0, i - 12) : i]
         if not _BEFORE.search(left):
             continue
@@ -218,10 +228,10 @@ def _persons(t: str, add, around, latin: bool) -> None:
         for e in ends:
             right = t[e : e + 12]
             given = t[i + size : e].replace(" ", "")
-            if not _END.match(right):
+            if not _END.match(right) or (not known and (right[:1] in (":", "：") or _OFFICE.search(given))):
                 continue
             after = bool(_AFTER.match(right)) or bool(re.match(r"\s{1,3}[+(]?[\d]{3}", right))
-            add(i, e, "person", 1 if strong else 0, 1 if after else 0, 1, -1 if any(g in _GIVEN_STOP for g in given) else 0, -1 if re.match(r"公司|集团|有限|路|街|区|市|省|县", right) else 0, 1 if len(given) == 2 else 0)
+            add(i, e, "person", 1 if strong else 0, 1 if after else 0, known, -1 if any(g in _GIVEN_STOP for g in given) else 0, -1 if re.match(r"公司|集团|有限|路|街|区|市|省|县", right) else 0, 1 if len(given) == 2 else 0)
     for m in _LATIN_NAME.finditer(t) if latin else ():
         a, b = m.span()
         words = re.findall(r"[^\W\d_]+", m[0])
@@ -231,8 +241,13 @@ def _persons(t: str, add, around, latin: bool) -> None:
         pinyin = all(_PINYIN_NAME.match(w.lower()) for w in words) and len(words) == 2
         known = words[0] in GIVEN or words[-1] in GIVEN
         initial = bool(re.match(r"[A-ZÀ-Þ]\.", m[0]))
+        # the list of given names votes for; a name missing from it says nothing, and is none unless the context votes for it
         cn = bool(_STRONG_BEFORE.search(left)) or bool(_AFTER.match(right)) or bool(re.match(r"收(?!\w)", right))
-        add(a, b, "person", 1 if _LATIN_BEFORE.search(left) or (cn and _STRONG_BEFORE.search(left)) else 0, 1 if _LATIN_AFTER.match(right) or _AFTER.match(right) or re.match(r"\s{1,3}[+(]?\d{3}|, \d{1,4} [A-Z]|, \d{1,4}, |, [A-Z]\w+(?:straße|str)|, Calle", right) else 0, 1 if known or pinyin or initial else -1, -1 if re.search(r"(?:Lane|Street|rue|Calle|des|de la|du|\d{5})\s$", left) else 0, 0, 1 if known or initial else 0)
+        before = _LATIN_BEFORE.search(left) or (cn and _STRONG_BEFORE.search(left))
+        after = _LATIN_AFTER.match(right) or _AFTER.match(right) or re.match(r"\s{1,3}[+(]?\d{3}|, \d{1,4} [A-Z]|, \d{1,4}, |, [A-Z]\w+(?:straße|str)|, Calle", right)
+        if not (known or pinyin or initial or before or after):
+            continue
+        add(a, b, "person", 1 if before else 0, 1 if after else 0, 1 if known or pinyin or initial else 0, -1 if re.search(r"(?:Lane|Street|rue|Calle|des|de la|du|\d{5})\s$", left) else 0, 0, 1 if known or initial else 0)
 
 
 def features(kind: str, votes: str) -> list[str]:

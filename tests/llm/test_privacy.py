@@ -64,3 +64,23 @@ def test_frame(spark):
     clean = {(r.src, r.rec_id): r.clean_text for r in V.redacted(rows).collect()}
     assert not re.search("杨娟宇", clean["ocr_blocks", 92]) and clean["ocr_blocks", 7] == TEXTS[7][0]
     assert V.found(V.texts(ocr.limit(0), pdfs.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, name", [("Contact: Greta Lindqvist", "Greta Lindqvist"), ("Kontakt: Sören Kjeldgaard, Tel. 030 1234567", "Sören Kjeldgaard"), ("联系人：易建平，电话13812345678", "易建平"), ("法定代表人：鲍思远（签字）", "鲍思远"), ("证人常 娟 佩，证件号码", "常 娟 佩")]
+)
+def test_names_outside_the_lists(text, name):
+    assert [text[a:b] for a, b, k in V.choose(text, _with(text)) if k == "person"] == [name]
+
+
+@pytest.mark.parametrize("text", ["Silver Lining", "The Grand Budapest", "联系人：见附件", "联系人：待定", "联系人：另行通知", "联系人电话：13812345678", "负责人签字：", "姓名：（空）", "联系人：办公室"])
+def test_no_name_without_context_or_after_a_label(text):
+    assert not [x for x in V.choose(text, _with(text)) if x[2] == "person"]
+
+
+def _with(text):
+    counts = {}
+    for t, n in [*((t, 50) for t, _ in TEXTS), (text, 1)]:
+        for _, _, k, v in V.candidates(t):
+            counts[k, v] = counts.get((k, v), 0) + n
+    return V.learn(counts)
