@@ -47,10 +47,14 @@ def top_two_gap(df: DataFrame, keys: Sequence[str], score: str, name: str) -> Da
 
 
 def total_after_heading(lines: DataFrame, keys: Sequence[str], line: str, pos: str, heading: str = "合计|Total", reach: int = 4) -> DataFrame:
-    """For each text the amount that follows the first heading whose window of lines holds any: the last one with decimals."""
+    """For each text the amount that follows the first heading whose window of lines holds any: the last one with decimals, else
+    the last one of a line with 元, else null. Texts without any amount after a heading give no row."""
     w = Window.partitionBy(*keys).orderBy(pos).rowsBetween(0, reach)
-    seen = lines.withColumn("__w", F.collect_list(F.col(line)).over(w)).where(F.col(line).rlike(heading))
-    found = F.expr(r"flatten(transform(__w, x -> regexp_extract_all(x, '([0-9]{1,3}(?:,[0-9]{3})+\\.[0-9]+|[0-9]+\\.[0-9]+)', 1)))")
-    amounts = seen.withColumn("__a", found).where(F.size("__a") > 0)
-    one = amounts.groupBy(*keys).agg(F.min_by("__a", pos).alias("__a"))
-    return one.select(*keys, F.replace(F.element_at("__a", -1), F.lit(","), F.lit("")).cast("double").alias("total"))
+    number = F.regexp_extract_all(F.col(line), F.lit(r"(?<![0-9.,])((?:[0-9]{1,3}(?:,[0-9]{3})+(?![0-9])|[0-9]+)(?:\.[0-9]+)?)"), F.lit(1))
+    plain = F.transform(number, lambda x: F.replace(x, F.lit(","), F.lit("")))
+    found = lines.withColumn("__n", F.struct(plain.alias("all"), F.filter(plain, lambda x: x.contains(".")).alias("exact"), F.when(F.col(line).contains("元"), plain).otherwise(F.array().cast("array<string>")).alias("money")))
+    seen = found.withColumn("__w", F.collect_list("__n").over(w)).where(F.col(line).rlike(heading))
+    last = lambda part: F.try_element_at(F.flatten(F.col(f"__w.{part}")), F.lit(-1))
+    amounts = seen.where(F.size(F.flatten(F.col("__w.all"))) > 0).select(*keys, pos, F.coalesce(last("exact"), last("money")).cast("double").alias("__t"))
+    one = amounts.groupBy(*keys).agg(F.min_by(F.struct("__t"), pos).alias("__o"))
+    return one.select(*keys, F.col("__o.__t").alias("total"))

@@ -267,8 +267,14 @@ def modal_total(spark, d):
 
 @query()
 def total_after_heading(spark, d):
-    lines = table(spark, d, "ocr_blocks").where("text IS NOT NULL").select("job_id", F.col("block_no").alias("pos"), F.col("text").alias("line"), "block_id").dropDuplicates(["job_id", "pos"])
-    return ordered.total_after_heading(lines, ["job_id"], "line", "pos")
+    """Totals of recognised pages (job_id) and of documents (doc_id), whose lines are those that are not blank."""
+    none = F.lit(None).cast("bigint")
+    blocks = table(spark, d, "ocr_blocks")
+    lines = blocks.where("text IS NOT NULL").select("job_id", none.alias("doc_id"), F.col("block_no").cast("bigint").alias("pos"), F.col("text").alias("line")).dropDuplicates(["job_id", "pos"])
+    docs = table(spark, d, "documents").where("text RLIKE '合计|Total'").dropDuplicates(["doc_id"])
+    job = F.lit(None).cast(blocks.schema["job_id"].dataType)
+    own = docs.select(job.alias("job_id"), "doc_id", F.posexplode(F.split("text", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("pos", "line")).where(F.col("line").rlike(r"\S"))
+    return ordered.total_after_heading(lines.unionByName(own.withColumn("pos", F.col("pos").cast("bigint"))), ["job_id", "doc_id"], "line", "pos")
 
 
 # layout

@@ -197,3 +197,26 @@ def test_streams(spark, tmp_path):
     q = upserts.windowed_counts(stream, "t", "k").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(str(r.start)[11:16], r.k): r.n for r in spark.table("counts").collect()} == {("00:00", 1): 2, ("00:10", 2): 1, ("00:20", 2): 1}
+
+
+def test_total_by_the_first_window_with_any_amount(spark):
+    texts = {
+        "whole": ["合计 12000元"],
+        "first": ["合计", "8元", "", "", "", "Total 5.50"],
+        "money": ["合计 3 项", "1,200,000 元", "第 7 页"],
+        "none": ["合计 3 项", "", "", "", "", "Total 5.50"],
+        "exact": ["合计 3 项", "12.5 万元", "100元"],
+        "empty": ["合计"],
+    }
+    lines = spark.createDataFrame([(k, i, t) for k, ts in texts.items() for i, t in enumerate(ts)], "d string, p int, t string")
+    got = {r.d: r.total for r in ordered.total_after_heading(lines, ["d"], "t", "p").collect()}
+    assert got == {"whole": 12000.0, "first": 8.0, "money": 1200000.0, "none": None, "exact": 12.5}
+
+
+def test_totals_of_documents(spark, tmp_path):
+    from sieveline.plans import catalog
+
+    spark.createDataFrame([(1, 1, "合计 7元", 1)], "job_id bigint, block_no int, text string, block_id bigint").write.parquet(f"{tmp_path}/ocr_blocks.parquet")
+    spark.createDataFrame([(5, "甲\n合计\n\n12000元"), (6, "无"), (7, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.job_id, r.doc_id, r.total) for r in catalog.QUERIES["total_after_heading"](spark, str(tmp_path)).collect()}
+    assert got == {(1, None, 7.0), (None, 5, 12000.0)}
