@@ -85,10 +85,16 @@ def evidence(text: str) -> tuple[dict[str, int], dict[str, int]]:
     return short, plain
 
 
+def _before(text: str, start: int, i: int) -> tuple[re.Match | None, str]:
+    """The token before the mark at i, and the key by which abbreviations are looked up."""
+    m = _TOKEN.search(text, max(start, i - 40), i)
+    return m, re.split("['’]", m[0] if m else "")[-1].lower()
+
+
 def open_tokens(text: str) -> list[str]:
-    """Short tokens before a period and a capital that neither the lists nor the document settle."""
-    short, _ = evidence(text)
-    return sorted({k for k in _stops(text, lambda gap, nxt: bool(gap) and nxt.isupper()) if len(k) <= 8 and k not in NEVER and k not in MAY_END and k not in short})
+    """The keys of all full stops: whatever the split asks the corpus for. No sentence starts inside a key."""
+    keys = (_before(text, 0, m.start())[1] for m in re.finditer("[.．]", text))
+    return sorted({k for k in keys if 0 < len(k) <= 8})
 
 
 class _Doc:
@@ -268,9 +274,8 @@ def _ends(doc: _Doc, start: int, i: int, run: str, last: int, nxt: int, hi: int)
         return False
     if _MARKER.match(text, start, i + 1) and _MARKER.match(text, start, i + 1).end() == i + 1:
         return False
-    m = _TOKEN.search(text, max(start, i - 40), i)
+    m, key = _before(text, start, i)
     token = m[0] if m else ""
-    key = re.split("['’]", token)[-1].lower()
     if text[i - 1] in _UNSPACED:
         return False
     if not token:
@@ -341,12 +346,12 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     # each document gets the abbreviations that it asks for, by a join over tokens
     asked = src.select("doc_id", F.explode(F.pandas_udf(opened, "array<string>")("text")).alias("token"))
-    settled = asked.join(known, "token").groupBy("doc_id").agg(F.collect_set("token").alias("known"))
+    settled = asked.join(known, "token").groupBy("doc_id").agg(F.collect_set("token").alias("known")).withColumnRenamed("doc_id", "__id")
 
     def cut_own(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, sets in batches:
             yield pd.Series([[{"s": a, "e": b} for a, b in split(t, frozenset() if k is None else frozenset(k))] for t, k in zip(texts, sets)], dtype=object)
 
     spans = F.pandas_udf(cut_own, "array<struct<s: int, e: int>>")("text", "known")
-    rows = src.join(settled, "doc_id", "left").select("doc_id", F.explode(spans).alias("x"))
+    rows = src.join(settled, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", F.explode(spans).alias("x"))
     return rows.select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))

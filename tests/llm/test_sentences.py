@@ -62,3 +62,12 @@ def test_frame(spark):
     assert S.sentences(df.limit(0)).count() == 0
     joined = S.sentences(df, most=-1)
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, S.sentences(df).collect()))
+
+
+def test_joined_abbreviations_give_the_same_sentences(spark):
+    """Apostrophes, combining marks, digits at the start, closing quotes before the capital, and repeated ids."""
+    shown = [f"See {w}. one and {w}. two, {w}. three." for w in ("xart", "xa\u0301b", "3xdf", "xquo")] * 2
+    asked = ["Voir l'xart. Premier cas.", "The xa\u0301b. Second case.", "The 3xdf. Third case.", "The “xquo.” Fourth case.", "The (xquo.) Fifth case."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(shown + asked)] + [(len(shown), "The 3xdf. Other text."), (None, "The 3xdf. No id.")], "doc_id long, text string")
+    one, two = (sorted(map(str, S.sentences(df, most=most).collect())) for most in (200_000, 0))
+    assert one == two
