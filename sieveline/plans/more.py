@@ -179,12 +179,15 @@ def same_prefix_names(spark, d):
 def anchor_match(spark, d):
     """Names of other documents against the anchor names of their project by matching-block ratio; one good anchor is an assignment.
 
-    Candidate pairs share a token of two characters, so pairs meet by key and not all with all.
+    Candidate pairs share a token of two characters, so pairs meet by key and not all with all; only a name of two against one
+    of three with a letter between reaches the threshold without such a token, so names that short have single characters too.
     """
     s = table(spark, d, "subject_results").where("name IS NOT NULL").select("project_id", F.col("name").alias("anchor")).distinct()
     h = table(spark, d, "field_hits").where("field = 'company_name' AND value IS NOT NULL").select("project_id", F.col("value").alias("name")).distinct()
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(F.col(c), i, F.lit(2))))
-    j = s.withColumn("g", F.explode(grams("anchor"))).join(h.withColumn("g", F.explode(grams("name"))), ["project_id", "g"]).select("project_id", "anchor", "name").distinct()
+    single = lambda c: F.when(F.length(c).between(2, 3), F.split(F.col(c), "")).otherwise(F.array().cast("array<string>"))
+    tokens = lambda c: F.explode(F.array_distinct(F.concat(grams(c), single(c))))
+    j = s.withColumn("g", tokens("anchor")).join(h.withColumn("g", tokens("name")), ["project_id", "g"]).select("project_id", "anchor", "name").distinct()
     near = j.withColumn("ratio", F.round(text.sequence_ratio(F.col("name"), F.col("anchor")), 6)).where("ratio >= 0.8")
     return near.groupBy("project_id", "name").agg(F.count("*").alias("n"), F.max_by("anchor", F.struct("ratio", "anchor")).alias("best")).select("project_id", "name", F.when(F.col("n") == 1, F.col("best")).alias("anchor"), "n")
 

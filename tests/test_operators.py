@@ -220,3 +220,18 @@ def test_totals_of_documents(spark, tmp_path):
     spark.createDataFrame([(5, "甲\n合计\n\n12000元"), (6, "无"), (7, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r.job_id, r.doc_id, r.total) for r in catalog.QUERIES["total_after_heading"](spark, str(tmp_path)).collect()}
     assert got == {(1, None, 7.0), (None, 5, 12000.0)}
+
+
+def test_anchor_match_against_all_pairs(spark, tmp_path):
+    from difflib import SequenceMatcher
+    from itertools import product
+
+    from sieveline.plans import catalog
+
+    names = ["".join(p) for n in (1, 2, 3, 4) for p in product("abx", repeat=n)]
+    anchors = ["ab", "axb", "abxa"]
+    spark.createDataFrame([("P", a) for a in anchors], "project_id string, name string").write.parquet(f"{tmp_path}/subject_results.parquet")
+    spark.createDataFrame([("P", "company_name", n) for n in names], "project_id string, field string, value string").write.parquet(f"{tmp_path}/field_hits.parquet")
+    got = {r.name: r.n for r in catalog.QUERIES["anchor_match"](spark, str(tmp_path)).collect()}
+    near = {n: sum(SequenceMatcher(None, n, a, autojunk=False).ratio() >= 0.8 for a in anchors) for n in names}
+    assert got == {n: k for n, k in near.items() if k}
