@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from sieveline.llm import sentences as S
 
 
-def cut(text, corpus=frozenset()):
+def cut(text, corpus={}):
     return [text[a:b] for a, b in S.split(text, corpus)]
 
 
@@ -38,7 +38,42 @@ def test_rules(text, want):
 def test_document_and_corpus_evidence():
     assert cut("The qzx. amount is due. See qzx. Marvelin for it.") == ["The qzx. amount is due.", "See qzx. Marvelin for it."]
     assert cut("Ask qzx. Marvelin. Then go.") == ["Ask qzx.", "Marvelin.", "Then go."]
-    assert cut("Ask qzx. Marvelin. Then go.", frozenset({"qzx"})) == ["Ask qzx. Marvelin.", "Then go."]
+    assert cut("Ask qzx. Marvelin. Then go.", {"qzx": "N "}) == ["Ask qzx. Marvelin.", "Then go."]
+    assert cut("Ask qzx. Marvelin. Then go.", {"qzx": " N"}) == ["Ask qzx.", "Marvelin.", "Then go."]
+    assert cut("At qzx. 5 it is. A marvelin or qzx. Marvelin.", {"qzx": "AN"}) == ["At qzx. 5 it is.", "A marvelin or qzx.", "Marvelin."]
+    long = "abc" * 50
+    assert cut(f"The {long}. amount is due. See {long}. Marvelin for it.") == [f"The {long}. amount is due.", f"See {long}. Marvelin for it."]
+
+
+def test_evidence():
+    dots, every = S.evidence("Ask Dr. Smith vs. him. Am 3. Mai l'art. 5 of U.S. law: “Yes. No.”\n \nEnd")
+    assert {k: v[:4] for k, v in dots.items()} == {"dr": [0, 1, 0, 0], "vs": [1, 0, 0, 0], "him": [0, 1, 0, 0], "am #": [0, 1, 0, 0], "art": [0, 0, 1, 0], "u.s": [1, 0, 0, 0]}
+    assert every["u.s"] == every["art"] == every["him"] == 1 and every["yes"] == 0
+
+
+def test_verdicts_without_lists(spark):
+    """Invented abbreviations, ordinals and words in templates that no list holds."""
+    import random
+
+    rnd = random.Random(5)
+    names = ["Tolvan", "Quimby", "Arneth", "Zuleika", "Brodin", "Felsen"]
+    rest = ["the vobble stood firm", "a grend came late", "they saw the krumm", "it cost 5 zorn. net", "we met at 9 tm. sharp", "the krumm of a vobble", "one grend"]
+    make = [lambda: f"Hxr. {rnd.choice(names)} wrote", lambda: f"See Pqg. {rnd.randint(1, 99)} there", lambda: f"Bif {rnd.randint(1, 30)}. {rnd.choice(names)} was", lambda: f"Only {rnd.choice(rest)}"]
+    docs, want = [], {}
+    for i in range(400):
+        at, text = 0, ""
+        for _ in range(rnd.randint(2, 5)):
+            s = rnd.choice(make)() + " " + rnd.choice(["vobble", "krumm", "grend"]) + "."
+            text += s
+            want.setdefault(i, []).append((at, at + len(s)))
+            gap = rnd.choice([" ", "\n\n"])
+            text += gap
+            at = len(text)
+        docs.append((i, text))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.sent_start, r.sent_end) for r in S.sentences(df).collect()}
+    true = {(i, a, b) for i, x in want.items() for a, b in x}
+    assert len(got & true) >= 0.99 * max(len(got), len(true))
 
 
 @settings(max_examples=500, deadline=None)
