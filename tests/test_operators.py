@@ -112,6 +112,13 @@ def test_scanner():
     assert {("company_name", "荻岸检测有限公司"), ("phone", "13812345678"), ("bid_agent_id", "11010519491231002X"), ("legal_rep_name", "李平斌"), ("email", "a@b.example")} <= values
     assert not any(f == "uscc" for f, _ in values)
     assert extract.scan(None) == [] and extract.scan("") == []
+    # names: roles, cuts, stop words; the first of overlapping spans; one credit code that is no identity number
+    got = extract.scan("法人代表张三丰授权李四为全权代表。联系人：开标 经办人 王五（身份证），股东：赵六。法定代表人签字")
+    assert {(f, v) for f, v, _ in got} == {("legal_rep_name", "张三丰"), ("bid_agent_name", "王五"), ("shareholder_name", "赵六")}
+    got = dict((f, v) for f, v, _ in extract.scan("招标人 ： 荻岸中心；项目名称：青岚园区设备采购项目，电话 0571-87654321 项目编号：AB-12"))
+    assert got == {"tenderer": "荻岸中心", "project_name": "青岚园区设备采购项目", "phone": "0571-87654321", "project_code": "AB-12"}
+    assert extract.scan("x@y z@. 110105194912310021 1380013800 4位有限公司") == []
+    assert [extract.coerced(f, v) for f, v in [("contact_name", "王五（经办）"), ("contact_name", "签字"), ("address", " 路1号，"), ("address", "a" * 81), ("phone", "1"), ("tenderer", "荻岸厂"), ("project_name", None)]] == ["王五", None, "路1号", None, None, "荻岸厂", None]
     assert ("contact_name", "王国强") in {(f, v) for f, v, _ in extract.scan_both("联 系 人：王 国 强")}
 
 
