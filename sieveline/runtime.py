@@ -24,7 +24,7 @@ def session(app: str = "sieveline", cores: str = "8", **conf: str) -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "sieveline-checkpoints"))
+        .config("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "sieveline-checkpoints"))  # local master only
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -53,18 +53,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: that of spark.checkpoint.dir. An error where none is set, except on a local master."""
+    sc = spark.sparkContext
+    where = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
+    if where:
+        return where
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        return os.path.join(tempfile.gettempdir(), "sieveline-checkpoints")  # one machine, so its own folder is shared by all tasks
+    raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: the rows are written as a Parquet table into the folder named by spark.checkpoint.dir, and read from it.
+    """Cuts the lineage: the rows are written as a Parquet table into the shared folder, and read from it.
 
-    The folder of the session is used as it is, so that all executors share it; only where none is set (as in tests) a local one
-    is chosen. Executors may be lost afterwards without losing the rows. The table is deleted when the application ends.
+    Executors may be lost afterwards without losing the rows. Lazy frames may read the table at any later time, so it is deleted
+    when the application ends.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    where = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", "") or tempfile.gettempdir()
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{where}/sieveline-{uuid.uuid4().hex}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/sieveline-{uuid.uuid4().hex}")
     df.write.parquet(path.toString())
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(path.toString())
 
 

@@ -242,3 +242,18 @@ def test_anchor_match_against_all_pairs(spark, tmp_path):
     got = {r.name: r.n for r in catalog.QUERIES["anchor_match"](spark, str(tmp_path)).collect()}
     near = {n: sum(SequenceMatcher(None, n, a, autojunk=False).ratio() >= 0.8 for a in anchors) for n in names}
     assert got == {n: k for n, k in near.items() if k}
+
+
+def test_intermediate_tables_need_a_shared_folder():
+    from types import SimpleNamespace as N
+
+    from sieveline.runtime import shared_folder
+
+    def spark(master, folder=""):
+        sc = N(master=master, getCheckpointDir=lambda: None, getConf=lambda: N(get=lambda k, d: folder or d))
+        return N(sparkContext=sc, conf=N(get=lambda k, d: d))
+
+    assert shared_folder(spark("yarn", "hdfs:///x")) == "hdfs:///x" and shared_folder(spark("local[4]"))
+    for master in ("yarn", "spark://h:1", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            shared_folder(spark(master))
