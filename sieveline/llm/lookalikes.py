@@ -1,9 +1,9 @@
 """One consistent form for text that looks right and is stored with other characters than usual.
 
-Tokens of odd cells are read by a weighted edit automaton over tries of the corpus vocabulary: look-alike substitutions and
-ignorable characters cost nothing, every other edit costs one, and only readings without cost are taken. The vocabulary is made
-of the tokens of all cells that are in consistent form already, with their counts; the most frequent reading is the canonical
-spelling. Tokens without reading are normalised by table: ordinary width, composed accents, ordinary Han characters, no invisible
+All tokens of cells with unusual characters are read by a weighted edit automaton over tries of the corpus vocabulary: look-alike
+substitutions and ignorable characters cost nothing, every other edit costs one, and only readings without cost are taken. The
+vocabulary is made of all tokens in consistent form, with their counts; the most frequent reading is the canonical spelling.
+Only tokens without reading are normalised by table: ordinary width, composed accents, ordinary Han characters, no invisible
 characters, plain spaces, and look-alikes in the script of the word around them.
 
 Cases: null and empty cells and rows without id give no row, cells in consistent form neither; words wholly in another script and traditional
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm import glyphs
+from sieveline.runtime import cut
 
 #: Fields whose values are codes, numbers or addresses in Latin letters (fixed values).
 LATIN_FIELDS = ("uscc", "legal_rep_id", "project_code", "phone", "email")
@@ -207,31 +208,26 @@ def cells(hits: DataFrame) -> DataFrame:
 def found(hits: DataFrame, buckets: int | None = None) -> DataFrame:
     """(hit_id, col_name, clean_text): each cell whose stored text is not in the consistent form, with that form.
 
-    Odd cells are few and go through the vocabulary; for the others one narrow pass decides. The vocabulary is summed by token
-    before it is shuffled and reduced to tokens that share the look of an odd token; tries are built by bucket of looks, so that no
-    task and no broadcast holds the whole vocabulary.
+    Cells with any character beyond ASCII and Han are read token by token through the vocabulary; the others are in consistent
+    form, which the JVM tells. The vocabulary is summed by token before it is shuffled and reduced to tokens that share the look
+    of a token asked for; tries are built by bucket of looks, so that no task and no broadcast holds the whole vocabulary.
     """
     spark = hits.sparkSession
     shared = glyphs.shared(spark)
     every = cells(hits)
+    # written once, as the tokens, their readings and the rewriting all start from these cells
+    odd = cut(every.where(~F.col("text").rlike("^[\\x20-\\x7e\\u4e00-\\u9fff]*$")))
+    split = F.split("text", "(?U)\\s+")
 
-    def odd_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def looks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Table(shared.value)
         for pdf in batches:
-            keep = [table.clean(t, bool(l)) != t or any(table.unsettled(w, t) for w in t.split()) for t, l in zip(pdf["text"], pdf["latin"])]
-            yield pdf[keep]
+            pdf["look"] = [table.key(w) for w in pdf["token"]]
+            yield pdf
 
-    # plain cells of printable ASCII and Han characters are never odd: the test runs in the JVM, before Python
-    odd = every.where(~F.col("text").rlike("^[\\x20-\\x7e\\u4e00-\\u9fff]*$")).mapInPandas(odd_part, "hit_id bigint, col_name string, latin boolean, text string")
-
-    def tokens_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = Table(shared.value)
-        for pdf in batches:
-            rows = {(w, table.key(w)) for t in pdf["text"] for w in re.split(r"\s+", t) if w}
-            yield pd.DataFrame(sorted(rows), columns=["token", "look"])
-
-    asked = odd.select("text").mapInPandas(tokens_of, "token string, look string").distinct()
-    words = every.select(F.explode(F.split("text", "(?U)\\s+")).alias("token")).where(F.col("token") != "").groupBy("token").agg(F.count("*").alias("n"))
+    asked = odd.select(F.explode(split).alias("token")).where("token <> ''").distinct().mapInPandas(looks, "token string, look string")
+    asked = cut(asked)
+    words = every.select(F.explode(split).alias("token")).where("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
 
     def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Table(shared.value)
@@ -245,38 +241,46 @@ def found(hits: DataFrame, buckets: int | None = None) -> DataFrame:
 
     def match(odd_pdf: pd.DataFrame, vocab_pdf: pd.DataFrame) -> pd.DataFrame:
         table = Table(shared.value)
-        trie = Trie(table)
+        trie, known = Trie(table), set(vocab_pdf["token"])
         for w, k in zip(vocab_pdf["token"], vocab_pdf["n"]):
             trie.add(w, int(k))
         rows = []
         for w in odd_pdf["token"]:
             got = trie.read(w)
-            if got and got[2] != w:
-                rows.append((w, got[2]))
-        return pd.DataFrame(rows, columns=["token", "spelling"])
+            if got:
+                rows.append((w, got[2], w in known))
+        return pd.DataFrame(rows, columns=["token", "spelling", "known"])
 
-    read = asked.withColumn("b", bucket).groupBy("b").cogroup(vocab.withColumn("b", bucket).groupBy("b")).applyInPandas(match, "token string, spelling string")
-    uses = odd.select("hit_id", "col_name", F.explode(F.array_distinct(F.split("text", "(?U)\\s+"))).alias("token"))
-    spelled = uses.join(read, "token").groupBy("hit_id", "col_name").agg(F.map_from_entries(F.collect_list(F.struct("token", "spelling"))).alias("spelled"))
+    read = asked.withColumn("b", bucket).groupBy("b").cogroup(vocab.withColumn("b", bucket).groupBy("b")).applyInPandas(match, "token string, spelling string, known boolean")
+    uses = odd.select("hit_id", "col_name", F.explode(F.array_distinct(split)).alias("token"))
+    item = F.struct("token", F.struct("spelling", "known"))
+    spelled = uses.join(read, "token").groupBy("hit_id", "col_name").agg(F.map_from_entries(F.collect_list(item)).alias("spelled"))
 
     def rewrite(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         table = Table(shared.value)
         for texts, latins, maps in batches:
-            yield pd.Series([canonical(table, t, bool(l), dict(m) if m is not None else {}) for t, l, m in zip(texts, latins, maps)], dtype=object)
+            rows = ((t, bool(l), {k: (v["spelling"], v["known"]) for k, v in dict(m).items()} if m is not None else {}) for t, l, m in zip(texts, latins, maps))
+            yield pd.Series([canonical(table, *x) for x in rows], dtype=object)
 
     clean = F.pandas_udf(rewrite, "string")("text", "latin", "spelled")
     out = odd.join(spelled, ["hit_id", "col_name"], "left").withColumn("clean_text", clean)
     return out.where(F.col("clean_text") != F.col("text")).select("hit_id", "col_name", "clean_text")
 
 
-def canonical(table: Table, text: str, latin: bool, spelled: dict[str, str]) -> str:
-    """The text with every token in its canonical spelling, or by table where the vocabulary has none."""
+def canonical(table: Table, text: str, latin: bool, spelled: dict[str, tuple[str, bool]]) -> str:
+    """The text with every token in its reading (spelling, whether the token itself is of the vocabulary), by table without one.
+
+    A token of the vocabulary stays, unless only its surroundings tell that it imitates another script: a word of look-alikes
+    inside a Latin text, or a value that is Latin by its field.
+    """
     out = []
     for part in re.split(r"(\s+)", text):
         if not part or part.isspace():
             out.append(table.base(part))
             continue
-        fixed, reading = table.clean(part, latin), spelled.get(part)
-        # a reading decides where the table leaves the token as it is (a word of look-alikes only) or agrees with its look
-        out.append(reading if reading is not None and (fixed != part or table.unsettled(part, text)) else fixed)
+        reading, known = spelled.get(part, ("", False))
+        if reading and known and reading != part and not table.unsettled(part, text) and not (latin and table.clean(part, True) != part):
+            reading = part
+        # in a Latin value a token that reads as itself may still be one of look-alikes only
+        out.append(table.clean(part, latin) if not reading or (latin and not reading.isascii()) else reading)
     return "".join(out)
