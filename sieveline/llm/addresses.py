@@ -1,10 +1,12 @@
 """Postal addresses written differently: which address hits of a project denote one location.
 
 An address is read into components: street stem (as a reading in Latin letters, so that scripts and homophones meet), street
-type, house number, city, district, postcode. Set-containment join for missing parts: every distinct address of a project is
-indexed under its rarest token, the street together with the house number (never more frequent than either part), with the
-deletion variants of the stem for one typing error; addresses with fewer parts are probed from fuller ones that share the
-token, and a pair holds if the weighted parts of the smaller are contained in the fuller and no component contradicts.
+type, house number, city, district, postcode. Set-containment join for missing parts: street and number are the only components
+that every address of a location must hold (all others may be left out, and postcode and district mistyped), so an index
+under any other token would lose pairs. Every distinct address of a project is indexed under the two together, which is
+rarer than either alone in any data, with the deletion variants of the stem for one typing error; addresses with fewer parts are
+probed from fuller ones that share the token, and a pair holds if the weighted parts of the smaller are contained in the
+fuller and no component contradicts.
 
 Cases: null and empty values, and values without house number or street, match nothing; identically written hits and repeated
 rows pair with each other; very long values are read whole; other columns are dropped; an empty table gives an empty table.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm import glyphs
 from sieveline.llm.lookalikes import Table
-from sieveline.llm.neighbours import MOST, Classes, components, reaches
+from sieveline.llm.neighbours import Classes, components, reaches
 from sieveline.runtime import cut
 
 #: Weights of components in the containment test.
@@ -222,7 +224,7 @@ class Reader:
     _LINK = r"(?:(?:de la|de l|des|du|del|de los|de las|de|d|la|les) )?"
 
     def _french(self, t: str):
-        m = re.search(rf"(?:^|, |n° ?|no\.? )(\d{{1,5}})(?: ?(?:bis|ter))?,? (?:rue|r|avenue|boulevard|place|chemin)\.? {self._LINK}([a-z -]+?)(?:, ?(.*)| (valbrune|saint-orme|[a-z-]+))?$", t)
+        m = re.search(rf"(?:^|, |n° ?|no\.? )(\d{{1,5}})(?: ?(?:bis|ter))?,? (?:rue|r|avenue|boulevard|place|chemin)\.? {self._LINK}([a-z -]+?)(?:, ?(.*)| ([a-z-]+))?$", t)
         if m:
             city = m[3] or m[4] or ""
             if not city:
@@ -319,9 +321,9 @@ def places(texts: DataFrame, shared, least: int = 3) -> tuple[dict[str, str], di
     Pattern and sums run in the JVM. What reaches the driver are administrative places, which the world bounds to some
     thousands, not addresses.
     """
-    full = f"^\\s*[{_CN}]{{2,4}}(?:省|自治区)([{_CN}]{{2,4}}?)市([{_CN}]{{1,4}}?)[区县旗]"
+    full = f"^\\s*(?:[{_CN}]{{2,4}}(?:省|自治区)([{_CN}]{{2,4}}?)|(北京|上海|天津|重庆))市([{_CN}]{{1,4}}?)[区县旗]"
     part = lambda i: F.regexp_extract("value", full, i)
-    seen = texts.select(part(1).alias("city"), part(2).alias("district")).where("city <> ''").groupBy("city", "district").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    seen = texts.select(F.concat(part(1), part(2)).alias("city"), part(3).alias("district")).where("city <> ''").groupBy("city", "district").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     reader = Reader(shared.value)
     cities: dict[str, str] = {}
     best: dict[str, tuple[int, str]] = {}
@@ -355,12 +357,12 @@ def read(hits: DataFrame) -> DataFrame:
 
 def classed(hits: DataFrame) -> DataFrame:
     """(hit_id, project_id, place): hits of one location share the place, and no others do."""
-    parsed = read(hits)
+    parsed = cut(read(hits))  # read by four branches below
     form = ["project_id", "number", "stem", "kind", "city", "district", "postcode"]
     forms = parsed.groupBy(*form).agg(F.count("*").alias("n"))
     # the index token: street with number; a stem meets every more frequent one that shares a deletion variant
     where = ["project_id", "number"]
-    stems = forms.groupBy(*where, "stem").agg(F.least(F.sum("n"), F.lit(MOST).cast("bigint")).alias("n"))
+    stems = forms.groupBy(*where, "stem").agg(F.sum("n").alias("n"))
     keyed = cut(stems.withColumn("key", F.explode(F.expr(VARIANTS))))
     over = keyed.select(*where, "key", F.struct("n", "stem").alias("over"))
     edges = cut(keyed.join(over, [*where, "key"]).where(F.col("over") > F.struct("n", "stem")).select(*where, F.col("stem").alias("id"), F.col("over.stem").alias("up")).distinct())

@@ -18,7 +18,6 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm import addresses, glyphs
 from sieveline.llm.lookalikes import Table
-from sieveline.llm.neighbours import MOST, Classes, components, reaches
+from sieveline.llm.neighbours import Classes, components, reaches
 from sieveline.llm.privacy import COMPOUND, SURNAMES
 from sieveline.runtime import cut
 
@@ -110,14 +109,63 @@ def token_cost(a: str, b: str) -> float:
     return 0.4 if len(x) >= 4 and edits(a, b) <= 1 else 1.0
 
 
-def align(a: list[str], b: list[str]) -> float:
+def assignment(cost: list[list[float]]) -> float:
+    """Least total cost of giving each row a column of its own (rows <= columns): shortest augmenting paths, for any number."""
+    n, m = len(cost), len(cost[0]) if cost else 0
+    u, v, taken, back = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        taken[0], j0 = i, 0
+        least, done = [float("inf")] * (m + 1), [False] * (m + 1)
+        while True:
+            done[j0] = True
+            i0, delta, j1 = taken[j0], float("inf"), 0
+            for j in range(1, m + 1):
+                if not done[j]:
+                    c = cost[i0 - 1][j - 1] - u[i0] - v[j]
+                    if c < least[j]:
+                        least[j], back[j] = c, j0
+                    if least[j] < delta:
+                        delta, j1 = least[j], j
+            for j in range(m + 1):
+                if done[j]:
+                    u[taken[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            j0 = j1
+            if not taken[j0]:
+                break
+        while j0:
+            taken[j0] = taken[back[j0]]
+            j0 = back[j0]
+    return sum(cost[taken[j] - 1][j - 1] for j in range(1, m + 1) if taken[j])
+
+
+def align(a: list[str], b: list[str], cost=token_cost) -> float:
     """Mean cost of the best assignment of the tokens of the shorter name to those of the longer one."""
     x, y = sorted((a, b), key=len)
     if not x:
         return 1.0
-    if len(y) > 6:  # only the first tokens of very long names may change places
-        return sum(token_cost(p, q) for p, q in zip(x, y)) / len(x)
-    return min(sum(token_cost(p, q) for p, q in zip(x, way)) for way in permutations(y, len(x))) / len(x)
+    if x == y:
+        return 0.0
+    return assignment([[cost(p, q) for q in y] for p in x]) / len(x)
+
+
+def core_cost(x: str, y: str) -> float:
+    """Cost of two main tokens of organisations: 0 for the same reading, 0.1 and 0.4 for one and two errors, 1 for others.
+
+    An error is a letter of a long word, or a syllable left out, added, written twice or changed in place with its neighbour.
+    """
+    if x == y:
+        return 0.0
+    p, q = syllables(x), syllables(y)
+    if p and q and max(len(p), len(q)) <= 5:
+        if sorted(p) == sorted(q):
+            return 0.1
+        if abs(len(p) - len(q)) > 2 or min(len(p), len(q)) < 2 or not (set(p) <= set(q) or set(q) <= set(p)):
+            return 0.1 if min(len(x), len(y)) >= 6 and edits(x, y) <= 1 else 1.0
+        return {1: 0.1, 2: 0.4}.get(edits(p, q), 1.0)
+    return {1: 0.1, 2: 0.4}.get(edits(x, y), 1.0) if min(len(x), len(y)) >= 7 else 1.0
 
 
 @dataclass(frozen=True)
@@ -305,7 +353,6 @@ ASK = f"""array_distinct(CASE WHEN parts <> '' THEN concat(array(concat('J:', ke
     WHEN NOT strict AND length(key) >= if(kind = 'o', 7, 9) THEN concat(array(concat('J:', key), concat('L:', key)), {_DELETED}) ELSE array(concat('J:', key)) END)"""
 
 
-_MASK = (1 << 43) - 1
 SCHEMA = "project_id string, name string, kind string, key string, parts string, core string, business string, city string, branch string, family string, given string, n bigint"
 
 
@@ -340,9 +387,14 @@ def parsed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     return distinct.select("project_id", "name", role.alias("role"), "n").mapInPandas(run, SCHEMA)
 
 
+#: Cost of two main tokens above which neither is a variant of the other.
+MOST_COST = 0.4
+
+
 def org_classes(rows: list[tuple[str, str, str, str, str, int, frozenset]]) -> list[int]:
     """Class of each (core, business, city, branch, name, n, reach) of one component, fullest and most frequent first: of all
-    classes in reach the best of those that contradict nothing."""
+    classes in reach that contradict nothing the one of least cost. A class above MOST_COST from all of its spellings is refused,
+    so every link of a chain is verified, whatever the index has joined."""
     order = sorted(range(len(rows)), key=lambda i: (-bool(rows[i][1]) - bool(rows[i][2]), -rows[i][5], rows[i][4]))
     heads: list[dict] = []
     known = Classes()
@@ -354,17 +406,21 @@ def org_classes(rows: list[tuple[str, str, str, str, str, int, frozenset]]) -> l
             head = heads[h]
             if head["branch"] != branch or (business and head["business"] and business != head["business"]) or (city and head["city"] and city != head["city"]):
                 continue
-            tokens = [t for t in (core, business, city) if t]
-            there = [t for t in (head["core"], head["business"], head["city"]) if t]
-            fits.append((bool(business and head["business"]) + bool(city and head["city"]), -align(tokens, there) if tokens != there else 0.0, head["n"], -h))
+            cost = min(core_cost(core, c) for c in head["cores"])
+            if cost > MOST_COST:
+                continue
+            tokens, there = ([t for t in (x, b, c) if t] for x, b, c in ((core, business, city), (head["core"], head["business"], head["city"])))
+            whole = align(tokens, there, lambda p, q: 0.0 if p == q else cost if (p, q) in ((core, head["core"]), (head["core"], core)) else 1.0)
+            fits.append((bool(business and head["business"]) + bool(city and head["city"]), -whole, head["n"], -h))
         if fits:
             h = -max(fits)[3]
             head = heads[h]
             head["business"], head["city"], head["n"] = head["business"] or business, head["city"] or city, head["n"] + n
+            head["cores"].add(core)
             known.join(h, reach)
         else:
             h = known.add(reach)
-            heads.append({"core": core, "business": business, "city": city, "branch": branch, "n": n})
+            heads.append({"core": core, "cores": {core}, "business": business, "city": city, "branch": branch, "n": n})
         out[i] = h
     return out
 
@@ -404,19 +460,18 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     rows = cut(rows)
     p = cut(parsed(rows, cities))
     main = p.where("kind <> 'i'")
-    # the index: keys under which tokens are found. Tokens and keys are compared as hashes inside their project: a token's id has
-    # 43 bits, and one number holds its frequency (up to a million) above its id. Every pair of a token and a more frequent
-    # neighbour is kept; which of them it is a variant of is decided by its names
-    ident = F.xxhash64("kind", "key").bitwiseAND(F.lit(_MASK))
+    # the index: keys under which tokens are found. Tokens and keys are compared as 64-bit hashes inside their project; what a
+    # hash or a chain of edits joins is verified by its names. Every pair of a token and a more frequent neighbour is kept (equally
+    # frequent ones by id); which of them it is a variant of is decided by its names
+    ident = F.xxhash64("kind", "key")
     strict = (F.col("kind") == "p") & (F.col("business") != "west")
     tokens = main.groupBy("project_id", "kind", "key").agg(F.max("parts").alias("parts"), F.min(strict).alias("strict"), F.sum("n").alias("n")).withColumn("id", ident)
-    code = F.shiftleft(F.least("n", F.lit(MOST).cast("bigint")), 43).bitwiseOR(F.col("id"))
     # the key J: is the token itself
     keyed = lambda keys: F.explode(F.transform(F.filter(F.expr(keys), lambda k: ~k.startswith("J:")), lambda k: F.xxhash64("kind", k)))
-    index = tokens.select("project_id", code.alias("over"), keyed(NEAR).alias("k"))
-    asked = tokens.select("project_id", code.alias("code"), keyed(ASK).alias("k"))
-    low = lambda c: F.col(c).bitwiseAND(F.lit(_MASK))
-    edges = cut(asked.join(index, ["project_id", "k"]).where("over > code").select("project_id", low("code").alias("id"), low("over").alias("up")).distinct())
+    index = tokens.select("project_id", F.col("id").alias("up"), F.col("n").alias("up_n"), keyed(NEAR).alias("k"))
+    asked = tokens.select("project_id", "id", "n", keyed(ASK).alias("k"))
+    over = (F.col("up_n") > F.col("n")) | ((F.col("up_n") == F.col("n")) & (F.col("up") > F.col("id")))
+    edges = cut(asked.join(index, ["project_id", "k"]).where(over).select("project_id", "id", "up").distinct())
     ups = edges.groupBy("project_id", "id").agg(F.collect_list("up").alias("ups"))
     token = components(edges, ["project_id"]).join(ups, ["project_id", "id"], "left")
 

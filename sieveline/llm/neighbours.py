@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from sieveline.runtime import cut
 
-#: Counts from here on are alike where tokens are ordered by frequency.
-MOST = (1 << 20) - 1
-
-
 def reaches(ids: list, counts: list[int], ups: list[list]) -> list[frozenset]:
     """For each row its token and all tokens that it can be a variant of: the more frequent neighbours, theirs, and so on.
 
@@ -27,7 +23,7 @@ def reaches(ids: list, counts: list[int], ups: list[list]) -> list[frozenset]:
         total[i] = total.get(i, 0) + n
     near = dict(zip(ids, ups))
     out: dict[Hashable, frozenset] = {}
-    for i in sorted(total, key=lambda i: (min(total[i], MOST), i), reverse=True):
+    for i in sorted(total, key=lambda i: (total[i], i), reverse=True):
         out[i] = frozenset((i,)).union(*(out[u] for u in near[i]))
     return [out[i] for i in ids]
 

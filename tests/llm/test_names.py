@@ -102,5 +102,22 @@ def test_every_neighbour_is_tried(spark):
 
 def test_an_ambiguous_variant_does_not_join_its_heads():
     a, b, v = frozenset([1]), frozenset([2]), frozenset([1, 2, 3])
-    assert N.org_classes([("ab", "", "", "", "a", 9, a), ("ac", "", "", "", "b", 5, b), ("a", "x", "y", "", "v", 1, v)]) == [0, 1, 0]
+    assert N.org_classes([("abcdefgh", "", "", "", "a", 9, a), ("abcdefgx", "", "", "", "b", 5, b), ("abcdefg", "x", "y", "", "v", 1, v)]) == [0, 1, 0]
     assert neighbours.reaches([1, 2, 3, 3], [9, 5, 1, 1], [[], [1], [2], [2]]) == [frozenset([1]), frozenset([1, 2]), frozenset([1, 2, 3]), frozenset([1, 2, 3])]
+
+
+def test_assignment_of_any_length():
+    rnd = random.Random(3)
+    tokens = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india"]
+    for n in (1, 3, 7, 9):
+        assert N.align(tokens[:n], tokens[:n][::-1]) == 0
+    assert round(N.align(tokens[:7], [t[0] for t in tokens[:8]][::-1]), 3) == 0.2
+    for _ in range(50):
+        n, m = rnd.randint(1, 4), rnd.randint(4, 5)
+        cost = [[rnd.random() for _ in range(m)] for _ in range(n)]
+        assert abs(N.assignment(cost) - min(sum(cost[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(m), n))) < 1e-9
+
+
+def test_costs_refuse_what_the_index_joins():
+    reach = frozenset([1])
+    assert N.org_classes([("huaxin", "", "", "", "a", 9, reach), ("zzzzqqq", "", "", "", "b", 5, reach), ("huaxing", "", "", "", "c", 1, reach)]) == [0, 1, 0]
