@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.runtime import cut
+
 
 def overridden(rows: DataFrame, manual: DataFrame, key: str, value: str) -> DataFrame:
     """Automatic values replaced by confirmed ones of the same key; confirmations of unknown keys come out as rows with an error."""
@@ -31,28 +33,30 @@ def all_or_nothing(results: DataFrame, checks: dict[str, Column]) -> DataFrame:
 def dense_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Consecutive numbers from 0 over a total order without a single-partition window.
 
-    Rows are sorted over all partitions; counts by partition (one number each) give every partition its offset.
+    Rows are sorted over all partitions and written with their partition and their place in it, so that counts and rows speak of
+    the same partitions; counts by partition (one number each, as many as partitions) give every partition its offset.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    ranged = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    ranged = cut(ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order))))
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     offsets = counts.withColumn("__o", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__o")
-    return ranged.join(F.broadcast(offsets), "__p").withColumn(name, F.col("__o") + F.col("__i") - 1).drop("__p", "__i", "__n", "__o")
+    return ranged.join(offsets, "__p").withColumn(name, F.col("__o") + F.col("__i") - 1).drop("__p", "__i", "__o")
 
 
 def quota_with_memory(lines: DataFrame, group: str, file: str, pos: str, text: str, quota: int) -> DataFrame:
     """The first ``quota`` new texts of each file, files in order: a text emitted by an earlier file does not count again, one
     beyond an earlier file's quota may still come. Sequential by nature within a group; a group is the set of files of one job.
 
-    Only the texts' hashes and places go to the sequential step, not the texts.
+    Only the texts' digests and places go to the sequential step, not the texts.
     """
-    slim = lines.select(group, file, pos, F.xxhash64(text).alias("h"))
+    slim = lines.select(group, file, pos, F.sha2(text, 256).alias("h"))
 
     def run(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in lists:
             out = []
             for rows in series:
-                seen: set[int] = set()
+                seen: set[str] = set()
                 used: dict[object, int] = {}
                 keep = []
                 for r in sorted(rows, key=lambda r: (r["f"], r["p"])):

@@ -19,7 +19,7 @@ def spatial_pairs(blocks: DataFrame, labels: DataFrame, keys: list[str]) -> Data
     centres differ by at most max(2.5 heights, 0.045) in y, score dy + 0.05 dx; below: within max(5 heights, 0.12) in y and
     0.18 in x, score 0.2 + dy. The candidates of a page meet within the page only.
     """
-    known = F.broadcast(labels.select("label", "field"))
+    known = labels.select("label", "field")
     b = blocks.where(F.col("text").isNotNull() & F.col("bbox").isNotNull()).withColumn("key", F.regexp_replace("text", "[\\s:：]", ""))
     tagged = b.join(known, F.col("key") == F.col("label"), "left")
     left = tagged.where(F.col("field").isNotNull()).select(*keys, "field", F.col("block_id").alias("label_id"), F.col("bbox").alias("lb"), F.col("confidence").alias("lc"))
@@ -35,20 +35,24 @@ def spatial_pairs(blocks: DataFrame, labels: DataFrame, keys: list[str]) -> Data
     return best.select(*keys, "field", "label_id", "t.value_id", F.col("t.text").alias("value"), "t.confidence", F.round("t.score", 6).alias("score"))
 
 
-def cell_values(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """For each label cell the first cell without a label among its right, second right and lower neighbour.
+def adjacent(cells: DataFrame) -> DataFrame:
+    """For each cell with a field the first cell without one among its right, second right and lower neighbour.
 
-    cells: sheet, row, col, text. One equality join on the place of the neighbour, then the smallest preference.
+    cells: sheet, row, col, text, field. One equality join on the place of the neighbour, then the smallest preference.
     """
-    known = F.broadcast(labels.select("label", "field"))
-    c = cells.withColumn("key", F.regexp_replace("text", "[\\s:：]", "")).join(known, F.col("key") == F.col("label"), "left")
     steps = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for p, (dr, dc) in enumerate([(0, 1), (0, 2), (1, 0)])]))
-    asked = c.where(F.col("field").isNotNull()).select("sheet", "row", "col", "field", steps.alias("s")).select("sheet", F.col("row").alias("r0"), F.col("col").alias("c0"), "field", "s.p", (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"))
-    value = c.where(F.col("field").isNull() & (F.trim("text") != "")).select("sheet", "row", "col", F.col("text").alias("value"))
+    asked = cells.where(F.col("field").isNotNull()).select("sheet", "row", "col", "field", steps.alias("s")).select("sheet", F.col("row").alias("r0"), F.col("col").alias("c0"), "field", "s.p", (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"))
+    value = cells.where(F.col("field").isNull() & (F.trim("text") != "")).select("sheet", "row", "col", F.col("text").alias("value"))
     hit = asked.join(value, ["sheet", "row", "col"]).groupBy("sheet", "r0", "c0", "field").agg(F.min(F.struct("p", "value")).alias("t"))
     return hit.select("sheet", F.col("r0").alias("row"), F.col("c0").alias("col"), "field", "t.value", F.lit(0.9).alias("confidence"))
 
 
+def cell_values(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """Values next to the cells whose text is one of the labels. cells: sheet, row, col, text; labels: label, field."""
+    known = labels.select("label", "field")
+    return adjacent(cells.withColumn("key", F.regexp_replace("text", "[\\s:：]", "")).join(known, F.col("key") == F.col("label"), "left"))
+
+
 def next_line(lines: DataFrame, keys: list[str], pos: str, line: str, label: str) -> DataFrame:
     """The rest of a line that begins with a label, else the next line of its text."""
     w = Window.partitionBy(*keys).orderBy(pos)

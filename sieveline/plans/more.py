@@ -71,8 +71,8 @@ def report_gate(spark, d):
 @query("""SELECT a.decision_id AS decision_a, b.decision_id AS decision_b, count(DISTINCT e) AS common FROM (SELECT decision_id, unnest(evidence_ids) AS e FROM field_decisions) a JOIN (SELECT decision_id, unnest(evidence_ids) AS e FROM field_decisions) b USING (e) WHERE a.decision_id < b.decision_id GROUP BY ALL""")
 def evidence_overlap(spark, d):
     x = table(spark, d, "field_decisions").select("decision_id", F.explode(F.array_distinct("evidence_ids")).alias("e"))
-    j = x.select(F.col("decision_id").alias("decision_a"), "e").join(x.select(F.col("decision_id").alias("decision_b"), "e"), "e").where("decision_a < decision_b")
-    return j.groupBy("decision_a", "decision_b").agg(F.count("*").alias("common"))
+    j = match.pairs_within(x.distinct(), ["e"], "decision_id")
+    return j.groupBy(F.col("a").alias("decision_a"), F.col("b").alias("decision_b")).agg(F.count("*").alias("common"))
 
 
 @query("""WITH n AS (SELECT project_id, supplier_dir, count(DISTINCT value) FILTER (field = 'legal_rep_name') AS names, min(value) FILTER (field = 'legal_rep_name') AS name, count(DISTINCT value) FILTER (field = 'legal_rep_id') AS ids, min(value) FILTER (field = 'legal_rep_id') AS id FROM field_hits WHERE supplier_dir IS NOT NULL GROUP BY ALL)
@@ -172,7 +172,7 @@ def nested_bundle(spark, d):
 @query("""SELECT a.project_id, a.name AS name_a, b.name AS name_b FROM (SELECT DISTINCT project_id, name FROM subject_results WHERE name IS NOT NULL) a JOIN (SELECT DISTINCT project_id, name FROM subject_results WHERE name IS NOT NULL) b ON a.project_id = b.project_id AND left(a.name, 4) = left(b.name, 4) AND a.name < b.name""")
 def same_prefix_names(spark, d):
     n = table(spark, d, "subject_results").where("name IS NOT NULL").select("project_id", "name", F.left("name", F.lit(4)).alias("k")).distinct()
-    return n.select("project_id", "k", F.col("name").alias("name_a")).join(n.select("project_id", "k", F.col("name").alias("name_b")), ["project_id", "k"]).where("name_a < name_b").drop("k")
+    return match.pairs_within(n, ["project_id", "k"], "name").select("project_id", F.col("a").alias("name_a"), F.col("b").alias("name_b"))
 
 
 @query()

@@ -37,12 +37,12 @@ _ELIGIBLE = "confidence >= 0.85 AND value IS NOT NULL AND supplier_dir IS NOT NU
 
 
 @query(
-    f"""WITH v AS (SELECT project_id, field, {wide('value')} AS value, supplier_dir, list_sort(list(DISTINCT evidence_id)) AS ids FROM field_hits WHERE {_ELIGIBLE} AND field IN ('uscc', 'phone', 'email', 'legal_rep_id') GROUP BY ALL)
+    f"""WITH v AS (SELECT project_id, field, {wide('value')} AS value, supplier_dir, list_sort(list(DISTINCT evidence_id)) AS ids FROM field_hits WHERE {_ELIGIBLE} AND field IN ('uscc', 'phone', 'email', 'legal_rep_id', 'address', 'company_name', 'tenderer', 'contact_name') GROUP BY ALL)
     SELECT a.project_id, a.field, a.value, a.supplier_dir AS party_a, b.supplier_dir AS party_b, array_to_string(list_sort(list_distinct(list_concat(a.ids, b.ids))), ',') AS evidence
     FROM v a JOIN v b USING (project_id, field, value) WHERE a.supplier_dir < b.supplier_dir"""
 )
 def exact_matches(spark, d):
-    h = table(spark, d, "field_hits").where(_ELIGIBLE).where(F.col("field").isin("uscc", "phone", "email", "legal_rep_id")).withColumn("value", text.half_width(F.col("value")))
+    h = table(spark, d, "field_hits").where(_ELIGIBLE).where(F.col("field").isin("uscc", "phone", "email", "legal_rep_id", "address", "company_name", "tenderer", "contact_name")).withColumn("value", text.half_width(F.col("value")))
     m = match.cross_match(h, "supplier_dir", ["project_id", "field", "value"], "evidence_id")
     return m.select("project_id", "field", "value", "party_a", "party_b", F.array_join("evidence_ids", ",").alias("evidence"))
 
@@ -270,8 +270,9 @@ def total_after_heading(spark, d):
     """Totals of recognised pages (job_id) and of documents (doc_id), whose lines are those that are not blank."""
     none = F.lit(None).cast("bigint")
     blocks = table(spark, d, "ocr_blocks")
-    lines = blocks.where("text IS NOT NULL").select("job_id", none.alias("doc_id"), F.col("block_no").cast("bigint").alias("pos"), F.col("text").alias("line")).dropDuplicates(["job_id", "pos"])
-    docs = table(spark, d, "documents").where("text RLIKE '合计|Total'").dropDuplicates(["doc_id"])
+    lines = blocks.where("text IS NOT NULL").select("job_id", none.alias("doc_id"), F.col("block_no").cast("bigint").alias("pos"), F.col("text").alias("line"), "block_id")
+    lines = lines.groupBy("job_id", "doc_id", "pos").agg(F.min_by("line", "block_id").alias("line"))  # a block delivered again counts once
+    docs = table(spark, d, "documents").where("text RLIKE '合计|Total'")
     job = F.lit(None).cast(blocks.schema["job_id"].dataType)
     own = docs.select(job.alias("job_id"), "doc_id", F.posexplode(F.split("text", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("pos", "line")).where(F.col("line").rlike(r"\S"))
     return ordered.total_after_heading(lines.unionByName(own.withColumn("pos", F.col("pos").cast("bigint"))), ["job_id", "doc_id"], "line", "pos")

@@ -120,9 +120,9 @@ def iso_dates(spark, d):
     return table(spark, d, "adapter_records").select("record_id", text.iso_day(F.col("effective_from")).alias("day"))
 
 
-@query("SELECT hit_id, 'EV-' || left(sha256('{\"document_id\":' || to_json(document_id) || ',\"field\":' || to_json(field) || ',\"value\":' || coalesce(to_json(value)::VARCHAR, 'null') || '}'), 12) AS stable_id FROM field_hits WHERE value IS NULL OR NOT regexp_matches(value, '[\\x00-\\x1f\\x7f\"\\\\/]')")
+@query("SELECT hit_id, 'EV-' || left(sha256('{\"document_id\":' || to_json(document_id) || ',\"field\":' || to_json(field) || ',\"value\":' || coalesce(to_json(value)::VARCHAR, 'null') || '}'), 12) AS stable_id FROM field_hits")
 def stable_ids(spark, d):
-    h = table(spark, d, "field_hits").where(F.col("value").isNull() | ~F.col("value").rlike('[\\x00-\\x1f\\x7f"\\\\/]'))
+    h = table(spark, d, "field_hits")
     return h.select("hit_id", text.stable_id("EV-", document_id=F.col("document_id"), field=F.col("field"), value=F.col("value")).alias("stable_id"))
 
 
