@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.operators.extract import NAME_CUTS, NO_NAME_PARTS, NO_NAME_START, NOT_NAMES, PROJECT_NOISE, PROJECT_WORDS
+from sieveline.functions.text import stable_id
+from sieveline.operators.extract import NAME_CUTS, NO_NAME_PARTS, NO_NAME_START, NOT_NAMES, PROJECT_NOISE, PROJECT_WORDS, fields
+from sieveline.operators.layout import spatial_pairs
 
 #: Fields that only a cover may give, and words of covers (fixed values).
 COVER_FIELDS = ("project_name", "project_code", "tenderer", "bid_date")
@@ -149,3 +151,47 @@ def metric_values(blocks: DataFrame, metrics: DataFrame, keys: Sequence[str]) ->
     near = pairs.select(*keys, "metric", "block_id", "score", F.col("t").alias("value"), F.lit("near").alias("relation"))
     best = inline.unionByName(near).groupBy(*keys, "metric").agg(F.min(F.struct("score", "block_id", "value", "relation")).alias("b"))
     return best.select(*keys, "metric", "b.value", "b.relation")
+
+
+def template_labels(units: DataFrame) -> DataFrame:
+    """(relative_path, metric_id, label): metrics that a blank template names in its cells, each label once, in order.
+
+    units: relative_path, kind, place, text of :func:`sieveline.sources.files.office_units`.
+    """
+    key = F.regexp_replace(F.regexp_replace("text", "^\\s*(?:[（(]?[一二三四五六七八九十百0-9]+[）).、]|[-—•●])\\s*", ""), "[\\s:：]", "")
+    cells = units.where("kind = 'cell'").select("relative_path", F.col("place").try_cast("int").alias("place"), key.alias("label"))
+    first = cells.where(looks_like_metric(F.col("label"))).groupBy("relative_path", "label").agg(F.min("place").alias("place"))
+    number = F.row_number().over(Window.partitionBy("relative_path").orderBy("place"))
+    return first.select("relative_path", F.format_string("M-%03d", number).alias("metric_id"), "label")
+
+
+def text_units(scans: DataFrame, office: DataFrame, texts: DataFrame) -> DataFrame:
+    """(relative_path, kind, place, text, cover) of everything that was read: pages, paragraphs and cells, text files."""
+    p = scans.select("relative_path", F.explode("pages").alias("p")).where("p.text <> ''")
+    cover = (F.col("p.page") == 1) & looks_like_cover(F.col("p.text"))
+    a = p.select("relative_path", F.lit("pdf_page").alias("kind"), F.col("p.page").cast("string").alias("place"), F.col("p.text").alias("text"), cover.alias("cover"))
+    b = office.where("status = 'ok' AND NOT startswith(kind, 'prop:')").select("relative_path", "kind", "place", "text", F.lit(False).alias("cover"))
+    c = texts.select("relative_path", F.lit("text").alias("kind"), F.lit("0").alias("place"), "text", F.lit(False).alias("cover"))
+    return a.unionByName(b).unionByName(c)
+
+
+def unit_fields(units: DataFrame, confidence: float = 1.0, digest: str = "EV-") -> DataFrame:
+    """(evidence_id, relative_path, kind, place, field, value, via_label, confidence): field rows of text units with their place.
+
+    Public fields count only from a cover; each (unit, field, value) counts once, the first way found.
+    """
+    found = fields(units, "text", "relative_path", "kind", "place", "cover").where(~F.col("field").isin(*COVER_FIELDS) | F.col("cover"))
+    ident = stable_id(digest, field=F.col("field"), kind=F.col("kind"), path=F.col("relative_path"), place=F.col("place"), value=F.col("value"))
+    return found.select(ident.alias("evidence_id"), "relative_path", "kind", "place", "field", "value", "via_label", F.lit(confidence).alias("confidence"))
+
+
+def recognised_fields(blocks: DataFrame, labels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., field, value, confidence, relation): what recognised blocks say: values beside or below a label with the lower
+    confidence of the two, else what the scanner finds inside a block, with at most 0.85; a page-wide result has at most 0.5."""
+    near = spatial_pairs(blocks, labels, list(keys)).select(*keys, "field", "value", "confidence", F.lit("layout").alias("relation"))
+    boxed = F.when(F.col("bbox").isNull(), F.least("confidence", F.lit(0.5))).otherwise(F.least("confidence", F.lit(0.85)))
+    inside = fields(blocks.where("text IS NOT NULL").withColumn("c", boxed), "text", *keys, "c").select(*keys, "field", "value", F.col("c").alias("confidence"), F.lit("inline").alias("relation"))
+    every = near.unionByName(inside)
+    rank = F.struct((F.col("relation") == "inline").cast("int").alias("a"), (-F.col("confidence")).alias("b"))
+    best = every.groupBy(*keys, "field", "value").agg(F.min_by(F.struct("confidence", "relation"), rank).alias("t"))
+    return best.select(*keys, "field", "value", "t.confidence", "t.relation")

@@ -257,3 +257,19 @@ def html_cells(spark, d):
     html = F.concat(F.lit("<table><TR class=a><td><b>"), name, F.lit("</b></td>\n<td x>"), code, F.lit("</td></TR></table>"))
     rows = table(spark, d, "adapter_records").where("coalesce(element_at(fields, '企业名称'), '') <> ''").select("record_id", text.table_rows(html)[0].alias("c"))
     return rows.select("record_id", F.filter("c", lambda x: x != "").alias("cells"))
+
+
+@query()
+def page_fields(spark, d):
+    """Field rows of all pages of parsed documents, by the scanner, with their place and evidence."""
+    p = table(spark, d, "parsed_pdfs").select(F.col("document_id").alias("relative_path"), "pages")
+    p = p.select("relative_path", F.explode("pages").alias("p")).where("p.text <> ''")
+    u = p.select("relative_path", F.lit("pdf_page").alias("kind"), F.col("p.page").cast("string").alias("place"), F.col("p.text").alias("text"), ((F.col("p.page") == 1) & pages.looks_like_cover(F.col("p.text"))).alias("cover"))
+    return pages.unit_fields(u)
+
+
+@query()
+def recognised_fields(spark, d):
+    """Field rows of recognised blocks: by layout where a label stands alone, else by the scanner with less confidence."""
+    labels = spark.createDataFrame([(w, f) for w, f in extract.FIELD_OF.items()], "label string, field string")
+    return pages.recognised_fields(table(spark, d, "ocr_blocks"), labels, ["document_id", "page"])

@@ -58,10 +58,11 @@ def media_type(content: Column, path: Column) -> Column:
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def docx_units(data: bytes) -> list[tuple[str, int, str]]:
-    """(kind, index, text) of paragraphs and table cells, and the properties as (prop:name, 0, value)."""
+    """(kind, index, text) of paragraphs, table cells, headers and footers, and all properties as (prop:name, 0, value)."""
     out: list[tuple[str, int, str]] = []
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         body = ElementTree.fromstring(z.read("word/document.xml"))
@@ -71,6 +72,16 @@ def docx_units(data: bytes) -> list[tuple[str, int, str]]:
                 text = "".join(t.text or "" for t in node.iter(f"{_W}t"))
                 if text.strip():
                     out.append((kind, i, text))
+        for kind in ("header", "footer"):
+            for i, name in enumerate(sorted(n for n in z.namelist() if re.fullmatch(rf"word/{kind}\d*\.xml", n))):
+                text = "".join(t.text or "" for t in ElementTree.fromstring(z.read(name)).iter(f"{_W}t"))
+                if text.strip():
+                    out.append((kind, i, text))
+        if "docProps/custom.xml" in z.namelist():
+            for e in ElementTree.fromstring(z.read("docProps/custom.xml")):
+                text = "".join(e.itertext()).strip()
+                if text:
+                    out.append((f"prop:{e.get('name')}", 0, text))
         for name in ("docProps/core.xml", "docProps/app.xml"):
             if name in z.namelist():
                 for e in ElementTree.fromstring(z.read(name)):
@@ -86,9 +97,12 @@ def xlsx_cells(data: bytes) -> list[tuple[str, str, str]]:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(f"{_S}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_S}si")]
-        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet")]
-        for k, name in enumerate(names):
-            for c in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{k + 1}.xml")).iter(f"{_S}c"):
+        rels = "xl/_rels/workbook.xml.rels"
+        parts = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read(rels))} if rels in z.namelist() else {}
+        sheets = [(s.get("name"), s.get(_REL)) for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet")]
+        for k, (name, rel) in enumerate(sheets):
+            part = parts.get(rel) or f"worksheets/sheet{k + 1}.xml"  # without relations sheets stand in order
+            for c in ElementTree.fromstring(z.read(part[1:] if part.startswith("/") else f"xl/{part}")).iter(f"{_S}c"):
                 v = c.find(f"{_S}v")
                 text = "".join(t.text or "" for t in c.iter(f"{_S}t")) if c.get("t") == "inlineStr" else "" if v is None else shared[int(v.text)] if c.get("t") == "s" else v.text or ""
                 if text.strip():

@@ -6,6 +6,7 @@ import io
 import re
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -40,7 +41,10 @@ def probe(data: bytes | None, path: str) -> tuple[str, int | None, dict[str, str
     if data[:8] == bytes.fromhex("D0CF11E0A1B11AE1") and low.endswith((".docx", ".xlsx")):
         return "password_protected", None, {}
     size = image_size(data)
-    return "ok", None, {"width": str(size[0]), "height": str(size[1])} if size else {}
+    if not size:
+        return "ok", None, {}
+    average = png_hash(data)
+    return "ok", None, {"width": str(size[0]), "height": str(size[1]), **exif(data), **({"ahash": average} if average else {})}
 
 
 def _pdf_text(raw: bytes) -> str:
@@ -63,6 +67,76 @@ def image_size(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+#: Tags of photographs that are kept, by number (fixed values).
+EXIF_TAGS = {0x010F: "Make", 0x0110: "Model", 0x0131: "Software", 0x0132: "DateTime", 0x013B: "Artist", 0x9003: "DateTimeOriginal", 0x9004: "DateTimeDigitized", 0xA431: "BodySerialNumber"}
+
+
+def exif(data: bytes) -> dict[str, str]:
+    """Text tags of a JPEG; damaged ones are left out."""
+    at = data.find(b"Exif\0\0")
+    tiff = data[at + 6 :] if at >= 0 else b""
+    order = {b"II": "<", b"MM": ">"}.get(tiff[:2])
+    out: dict[str, str] = {}
+    todo = [struct.unpack(order + "I", tiff[4:8])[0]] if order and len(tiff) >= 8 else []
+    for _ in range(3):  # the main directory and those it points to
+        if not todo:
+            break
+        at = todo.pop(0)
+        if at + 2 > len(tiff):
+            continue
+        for k in range(struct.unpack(order + "H", tiff[at : at + 2])[0]):
+            entry = tiff[at + 2 + 12 * k : at + 14 + 12 * k]
+            if len(entry) < 12:
+                break
+            tag, kind, n = struct.unpack(order + "HHI", entry[:8])
+            if tag == 0x8769:
+                todo.append(struct.unpack(order + "I", entry[8:])[0])
+            elif tag in EXIF_TAGS and kind == 2:
+                start = struct.unpack(order + "I", entry[8:])[0]
+                raw = entry[8 : 8 + n] if n <= 4 else tiff[start : start + n]
+                if len(raw) == n and raw.strip(b"\0 "):
+                    out[EXIF_TAGS[tag]] = raw.strip(b"\0 ").decode("utf-8", "replace")
+    return out
+
+
+def png_hash(data: bytes, side: int = 8) -> str | None:
+    """Average hash of a PNG with 8 bits a channel: the picture in side x side boxes, one bit a box for at least the mean."""
+    size, at, packed, kind = image_size(data), 8, b"", None
+    while at + 8 <= len(data):
+        n, name = struct.unpack(">I", data[at : at + 4])[0], data[at + 4 : at + 8]
+        if name == b"IHDR":
+            kind = (data[at + 16 : at + 17], data[at + 17 : at + 18], data[at + 20 : at + 21])
+        packed += data[at + 8 : at + 8 + n] if name == b"IDAT" else b""
+        at += 12 + n
+    channels = {b"\0": 1, b"\2": 3, b"\4": 2, b"\6": 4}.get(kind[1]) if kind else None
+    if not size or not channels or kind[0] != b"\x08" or kind[2] != b"\0":
+        return None
+    try:
+        raw = zlib.decompressobj().decompress(packed)
+    except zlib.error:
+        return None
+    width, height = size
+    line = width * channels
+    if len(raw) < height * (line + 1):
+        return None
+    sums, counts, before = [0.0] * side**2, [0] * side**2, bytearray(line)
+    for y in range(height):
+        f, row = raw[y * (line + 1)], bytearray(raw[y * (line + 1) + 1 : (y + 1) * (line + 1)])
+        for i in range(line):
+            a, b, c = row[i - channels] if i >= channels else 0, before[i], before[i - channels] if i >= channels else 0
+            near = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+            row[i] = (row[i] + (0, a, b, (a + b) // 2, near)[f]) & 255
+        for x in range(width):
+            p = row[x * channels : x * channels + channels]
+            k = y * side // height * side + x * side // width
+            sums[k] += p[0] if channels < 3 else 0.299 * p[0] + 0.587 * p[1] + 0.114 * p[2]
+            counts[k] += 1
+        before = row
+    means = [s / n if n else 0.0 for s, n in zip(sums, counts)]
+    mean = sum(means) / len(means)
+    return f"{int(''.join('1' if m >= mean else '0' for m in means), 2):0{side * side // 4}x}"
+
+
 def probed(files: DataFrame) -> DataFrame:
     """(relative_path, sha256, status, units, properties) of (relative_path, content); a file that cannot be read is a row."""
 
