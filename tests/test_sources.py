@@ -180,7 +180,7 @@ def test_files_to_fields(spark):
     """From files of three kinds to field rows with evidence."""
     from sieveline.operators import pages
 
-    scan = spark.createDataFrame([("bids/A/a.pdf", [(1, "投标文件 项目名称：青岚园区设备采购项目 电话：0571-87654321", True, 0), (2, "招标人：荻岸中心 联系人：王国强", True, 0), (3, "", False, 1)])], "relative_path string, pages array<struct<page: int, text: string, has_text_layer: boolean, image_count: int>>")
+    scan = spark.createDataFrame([("bids/A/a.pdf", [(1, "投标文件 项目名称：青岚园区设备采购项目，电话：0571-87654321", True, 0), (2, "招标人：荻岸中心 联系人：王国强", True, 0), (3, "", False, 1)])], "relative_path string, pages array<struct<page: int, text: string, has_text_layer: boolean, image_count: int>>")
     office = spark.createDataFrame([("bids/A/b.docx", "ok", "cell", "3", "邮箱：a@b.example"), ("bids/A/b.docx", "ok", "prop:creator", "0", "me"), ("bids/A/c.docx", "corrupt", None, None, None)], "relative_path string, status string, kind string, place string, text string")
     texts = spark.createDataFrame([("bids/A/d.txt", "手 机：13812345678")], "relative_path string, text string")
     got = {(r.relative_path[-5:], r.place, r.field, r.value) for r in pages.unit_fields(pages.text_units(scan, office, texts)).collect()}
