@@ -2,8 +2,9 @@
 
 Candidate spans come from patterns, gazetteers and contexts. Every labeler looks at a candidate and votes for it, against it or
 not at all. The votes of the whole corpus are counted by voting pattern (a small table, whatever the corpus); expectation-
-maximisation on these counts estimates how reliable each labeler is and how likely each pattern is personal, and a logistic
-classifier over votes and span features, trained on those posteriors, gives each span its probability. Of overlapping spans
+maximisation on these counts estimates how reliable each labeler is and how likely each pattern is personal. A logistic
+classifier over votes, the characters and words around a span, its length and its shape, trained on those posteriors, gives
+each span its probability, also where no labeler knows its surroundings or its voting pattern is new. Of overlapping spans
 the more probable, then the longer one stays.
 
 Cases: null, empty and blank texts give no row; each distinct value of a text is given once, exactly as written; repeated rows
@@ -17,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -250,14 +252,28 @@ def _persons(t: str, add, around, latin: bool) -> None:
         add(a, b, "person", 1 if before else 0, 1 if after else 0, 1 if known or pinyin or initial else 0, -1 if re.search(r"(?:Lane|Street|rue|Calle|des|de la|du|\d{5})\s$", left) else 0, 0, 1 if known or initial else 0)
 
 
-def features(kind: str, votes: str) -> list[str]:
-    """What the final classifier sees of a span: each vote, each pair of a vote for and a vote against, and the kind."""
+_LAST, _FIRST = re.compile(r"[^\W\d_]+\W{0,2}$"), re.compile(r"\W{0,2}[^\W\d_]+")
+
+
+def surroundings(t: str, a: int, b: int) -> str:
+    """What stands around a span and what it looks like, as features divided by a separator: the characters and words next to it,
+    its length and the kinds of its characters."""
+    span, left, right = t[a:b], t[max(0, a - 24) : a], t[b : b + 24]
+    shape = re.sub(r"(.)\1+", r"\1", "".join("d" if c.isdigit() else "h" if "一" <= c <= "鿿" else "A" if c.isupper() else "a" if c.isalpha() else "_" for c in span))
+    word = lambda m: m[0].strip().lower() if m and not "一" <= m[0].strip()[:1] <= "鿿" else ""
+    parts = (f"l1{left[-1:]}", f"l2{left[-2:]}", f"r1{right[:1]}", f"r2{right[:2]}", f"lw{word(_LAST.search(left))}", f"rw{word(_FIRST.match(right))}", f"n{min(len(span), 32)}", f"s{shape[:16]}")
+    return "\x1f".join(parts)
+
+
+def features(kind: str, votes: str, around: str = "") -> list[str]:
+    """What the final classifier sees of a span: each vote, each pair of a vote for and a vote against, its surroundings, its kind."""
     single = [f"{kind}:{i}{v}" for i, v in enumerate(votes) if v != "0"]
-    return [f"{kind}:bias", *single, *(f"{kind}:{x[-2:]}{y[-2:]}" for k, x in enumerate(single) for y in single[k + 1 :] if x[-1] != y[-1])]
+    pairs = [f"{kind}:{x[-2:]}{y[-2:]}" for k, x in enumerate(single) for y in single[k + 1 :] if x[-1] != y[-1]]
+    return [f"{kind}:bias", *single, *pairs, *(f"{kind}:{x}" for x in around.split("\x1f") if around)]
 
 
 def learn(counts: dict[tuple[str, str], int], rounds: int = 40) -> dict[tuple[str, str], float]:
-    """Probability of each (kind, votes): expectation-maximisation for each kind, then the classifier trained on it.
+    """Probability of each (kind, votes) by expectation-maximisation for each kind: the soft labels of the classifier.
 
     A labeler that votes is right with its own probability, estimated from the posteriors and held at 0.6 or more (a labeler
     never means the opposite of what it says); one that doesn't vote says nothing. The prior counts of a vote against are
@@ -289,25 +305,43 @@ def learn(counts: dict[tuple[str, str], int], rounds: int = 40) -> dict[tuple[st
                 post.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
         for (v, _), p in zip(rows, post):
             soft[kind, v] = p
-    names = sorted({f for key in counts for f in features(*key)})
-    at = {f: i for i, f in enumerate(names)}
-    w = [0.0] * len(names)
-    rows = [([at[f] for f in features(*key)], soft[key], math.log1p(n)) for key, n in sorted(counts.items())]
-    step = [1e-6] * len(names)
-    for _ in range(300):
-        for xs, y, n in rows:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w[i] for i in xs)))))
-            g = n * (p - y)
-            for i in xs:
-                d = g + 1e-3 * w[i]
-                step[i] += d * d
-                w[i] -= 0.5 * d / math.sqrt(step[i])
-    return {key: 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w[at[f]] for f in features(*key)))))) for key in counts}
-
-
-def stay(spans: list[tuple[int, int, str, str]], model: dict[tuple[str, str], float], least: float = 0.5) -> list[tuple[int, int, str]]:
+    return soft
+
+
+class Classifier:
+    """Logistic classifier over votes and surroundings, trained on soft labels; unknown features weigh nothing."""
+
+    def __init__(self, rows: list[tuple[str, str, str]], soft: dict[tuple[str, str], float], rounds: int = 150):
+        lists = [features(*r) for r in rows]
+        names = {f: i for i, f in enumerate(sorted({f for fs in lists for f in fs}))}
+        sizes = np.array([len(fs) for fs in lists], dtype=np.int64)
+        at = np.array([names[f] for fs in lists for f in fs], dtype=np.int64)
+        row = np.repeat(np.arange(len(lists)), sizes)
+        y = np.array([soft[k, v] for k, v, _ in rows])
+        # a voting pattern counts by its root, so that frequent patterns do not drown the rare ones
+        seen: dict[tuple[str, str], int] = {}
+        for k, v, _ in rows:
+            seen[k, v] = seen.get((k, v), 0) + 1
+        weight = np.array([seen[k, v] ** -0.5 for k, v, _ in rows])
+        w, step = np.zeros(len(names)), np.full(len(names), 1e-6)
+        for _ in range(rounds if rows else 0):
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[at], len(lists)), -30, 30)))
+            g = np.bincount(at, (weight * (p - y))[row], len(names)) + 1e-3 * w
+            step += g * g
+            w -= 0.7 * g / np.sqrt(step)
+        self.weights = {f: float(w[i]) for f, i in names.items() if abs(w[i]) > 1e-3}
+
+    def probability(self, kind: str, votes: str, around: str) -> float:
+        z = sum(self.weights.get(f, 0.0) for f in features(kind, votes, around))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+Spans = list[tuple[int, int, str, str, str]]
+
+
+def stay(spans: Spans, model: Classifier, least: float = 0.5) -> list[tuple[int, int, str]]:
     """The candidates that stay, in order, none overlapping."""
-    scored = [(model.get((k, v), 0.0), a, b, k) for a, b, k, v in spans]
+    scored = [(model.probability(k, v, x), a, b, k) for a, b, k, v, x in spans]
     scored = sorted((x for x in scored if x[0] >= least), key=lambda x: (-round(x[0], 1) if x[3] != "person" else -round(x[0], 1) + 0.05, -(x[2] - x[1]), x[1]))
     kept: list[tuple[int, int, str]] = []
     for _, a, b, k in scored:
@@ -316,17 +350,25 @@ def stay(spans: list[tuple[int, int, str, str]], model: dict[tuple[str, str], fl
     return sorted(kept)
 
 
-def choose(text: str | None, model: dict[tuple[str, str], float], least: float = 0.5) -> list[tuple[int, int, str]]:
+def seen(text: str) -> Spans:
+    """The candidates of a text with what stands around them."""
+    t = text if text.isascii() else text.translate(_WIDTH)
+    return [(a, b, k, v, surroundings(t, a, b)) for a, b, k, v in candidates(text)]
+
+
+def choose(text: str | None, model: Classifier, least: float = 0.5) -> list[tuple[int, int, str]]:
     """The personal spans of a text."""
-    return [] if not text or text.isspace() else stay(candidates(text), model, least)
+    return [] if not text or text.isspace() else stay(seen(text), model, least)
 
 
-def redact(text: str | None, model: dict[tuple[str, str], float]) -> str | None:
+def redact(text: str | None, model: Classifier) -> str | None:
     """The text with typed placeholders; null stays null."""
-    if text is None:
-        return None
+    return None if text is None else replaced(text, choose(text, model))
+
+
+def replaced(text: str, spans: list[tuple[int, int, str]]) -> str:
     out, at = [], 0
-    for a, b, kind in choose(text, model):
+    for a, b, kind in spans:
         out += [text[at:a], PLACEHOLDER[kind]]
         at = b
     return "".join(out) + text[at:]
@@ -339,34 +381,45 @@ def texts(ocr: DataFrame, pdfs: DataFrame) -> DataFrame:
     return a.unionByName(b).where(F.col("text").isNotNull() & (F.trim("text") != ""))
 
 
-_CANDIDATE = "array<struct<a: int, b: int, kind: string, votes: string, value: string>>"
+_CANDIDATE = "array<struct<a: int, b: int, kind: string, votes: string, around: string, value: string>>"
+#: Candidates on which the classifier is trained; the counts of all others enter by the soft labels of their voting patterns.
+SAMPLE = 40_000
 
 
 def voted(rows: DataFrame) -> DataFrame:
-    """(src, rec_id, page_no, c): the candidates of each text with their votes and values; texts without any are left out.
+    """(src, rec_id, page_no, text, c): the candidates of each text with their votes, surroundings and values.
 
-    One pass over the texts; the result is written, as both the counts and the decision read it.
+    One pass over the texts; the result is written, as the counts, the sample and the decision read it.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
-            yield pd.Series([[{"a": a, "b": b, "kind": k, "votes": v, "value": t[a:b]} for a, b, k, v in candidates(t)] for t in series], dtype=object)
+            yield pd.Series([[{"a": a, "b": b, "kind": k, "votes": v, "around": x, "value": t[a:b]} for a, b, k, v, x in seen(t)] for t in series], dtype=object)
 
-    return cut(rows.select("src", "rec_id", "page_no", F.pandas_udf(run, _CANDIDATE)("text").alias("c")).where(F.size("c") > 0))
+    return cut(rows.withColumn("c", F.pandas_udf(run, _CANDIDATE)("text")))
 
 
-def model_of(cands: DataFrame) -> dict[tuple[str, str], float]:
-    """Counts the voting patterns of all candidates and learns from them.
+def model_of(cands: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """Counts the voting patterns of all candidates, learns their soft labels, and trains the classifier on a sample.
 
-    What reaches the driver is one row for each voting pattern: at most 3^7 a kind, in practice a few hundred.
+    What reaches the driver is one row for each voting pattern (at most 3^7 a kind, in practice a few hundred), and the ``sample``
+    candidates with the least hashes.
     """
-    patterns = cands.select(F.explode("c").alias("x")).groupBy("x.kind", "x.votes").agg(F.count("*").alias("n"))
-    return learn({(r.kind, r.votes): r.n for r in patterns.collect()})
+    each = cands.select("src", "rec_id", "page_no", F.explode("c").alias("x"))
+    patterns = each.groupBy("x.kind", "x.votes").agg(F.count("*").alias("n"))
+    soft = learn({(r.kind, r.votes): r.n for r in patterns.collect()})
+    order = F.xxhash64("src", "rec_id", "page_no", "x.a", "x.b", "x.kind")
+    chosen = each.select("x.kind", "x.votes", "x.around", order.alias("h")).orderBy("h", "kind", "votes", "around").limit(sample)
+    return Classifier([(r.kind, r.votes, r.around) for r in chosen.collect()], soft)
+
+
+def _spans(c) -> Spans:
+    return [(x["a"], x["b"], x["kind"], x["votes"], x["around"]) for x in c]
 
 
 def found(rows: DataFrame) -> DataFrame:
     """(src, rec_id, page_no, kind, value_text): each distinct personal value of each text of :func:`texts`."""
-    cands = voted(rows)
+    cands = voted(rows.select("src", "rec_id", "page_no", "text")).where(F.size("c") > 0)
     model = rows.sparkSession.sparkContext.broadcast(model_of(cands))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -374,8 +427,7 @@ def found(rows: DataFrame) -> DataFrame:
             out = []
             for spans in series:
                 value = {(x["a"], x["b"], x["kind"]): x["value"] for x in spans}
-                kept = stay([(x["a"], x["b"], x["kind"], x["votes"]) for x in spans], model.value)
-                out.append([{"kind": k, "value_text": v} for k, v in dict.fromkeys((x[2], value[x]) for x in kept)])
+                out.append([{"kind": k, "value_text": v} for k, v in dict.fromkeys((x[2], value[x]) for x in stay(_spans(spans), model.value))])
             yield pd.Series(out, dtype=object)
 
     values = F.pandas_udf(run, "array<struct<kind: string, value_text: string>>")("c")
@@ -384,10 +436,11 @@ def found(rows: DataFrame) -> DataFrame:
 
 def redacted(rows: DataFrame) -> DataFrame:
     """(src, rec_id, page_no, clean_text): each text of :func:`texts` with typed placeholders."""
-    model = rows.sparkSession.sparkContext.broadcast(model_of(voted(rows)))
+    cands = voted(rows.select("src", "rec_id", "page_no", "text"))
+    model = rows.sparkSession.sparkContext.broadcast(model_of(cands))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            yield pd.Series([redact(t, model.value) for t in series], dtype=object)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, series in batches:
+            yield pd.Series([replaced(t, stay(_spans(c), model.value)) for t, c in zip(texts, series)], dtype=object)
 
-    return rows.select("src", "rec_id", "page_no", F.pandas_udf(run, "string")("text").alias("clean_text"))
+    return cands.select("src", "rec_id", "page_no", F.pandas_udf(run, "string")("text", "c").alias("clean_text"))

@@ -21,12 +21,18 @@ TEXTS = [
 ]
 
 
+def trained(texts):
+    """The classifier of a corpus of (text, how often)."""
+    counts, rows = {}, []
+    for t, n in texts:
+        for _, _, k, v, x in V.seen(t):
+            counts[k, v] = counts.get((k, v), 0) + n
+            rows += [(k, v, x)] * n
+    return V.Classifier(rows, V.learn(counts))
+
+
 def model():
-    counts = {}
-    for t, _ in TEXTS:
-        for _, _, k, v in V.candidates(t):
-            counts[k, v] = counts.get((k, v), 0) + 50
-    return V.learn(counts)
+    return trained((t, 50) for t, _ in TEXTS)
 
 
 @pytest.mark.parametrize("k", range(len(TEXTS)))
@@ -79,8 +85,14 @@ def test_no_name_without_context_or_after_a_label(text):
 
 
 def _with(text):
-    counts = {}
-    for t, n in [*((t, 50) for t, _ in TEXTS), (text, 1)]:
-        for _, _, k, v in V.candidates(t):
-            counts[k, v] = counts.get((k, v), 0) + n
-    return V.learn(counts)
+    return trained([*((t, 50) for t, _ in TEXTS), (text, 1)])
+
+
+def test_surroundings_decide_for_new_patterns():
+    """Votes that were never seen together, and none at all, are judged by what stands around the span."""
+    soft = {("person", "+0"): 0.95, ("person", "0-"): 0.05}
+    near = lambda t: V.surroundings(t, 2, 4)
+    rows = [("person", "+0", near("找：张三，电话"))] * 30 + [("person", "0-", near("买了方便袋子"))] * 30
+    m = V.Classifier(rows, soft)
+    assert m.probability("person", "00", near("找：李四，电话")) > 0.5 > m.probability("person", "00", near("买了平安袋子"))
+    assert m.probability("person", "+-", near("找：李四，电话")) > m.probability("person", "+-", near("买了平安袋子"))
