@@ -34,20 +34,18 @@ SURNAMES = set(
     "張劉陳楊黃趙吳孫馬羅鄭謝許韓馮鄧肖蔣餘葉蘇呂盧鍾譚陸範賈韋鄒龍賀顧龔萬錢嚴湯"
 )
 COMPOUND = ("欧阳", "歐陽", "上官", "司马", "司馬", "诸葛", "諸葛", "东方", "皇甫", "尉迟", "公孙", "令狐", "慕容", "夏侯")
-#: Given names of western persons that the gazetteer knows (fixed values).
+#: Common given names of western persons (fixed values); one that is missing here needs a context.
 GIVEN = set(
-    "Katharina Friedrich Margaret Robert Andrea Elisabeth François José Théodore Zoë Geneviève William Heinrich Jürgen Hans Peter Anna Maria Thomas Michael "
-    "Stefan Martin Julia Sophie Claire Pierre Jean Marie Luc Antoine Camille Carlos Juan Ana Pedro Luis Carmen Isabel John Mary James David Sarah Emma Oliver "
-    "Charles Henry Alice George Edward Helen Paul Karl Ursula Kathi Pepe Theodore".split()
+    "Adam Alan Albert Alexander Alfred Alice Andrea Andreas Andrew Anna Anne Antoine Anton Barbara Benjamin Bernard Bernd Camille Carl Carlos Carmen Caroline Catherine Cecilia Charles Charlotte Christian Christine "
+    "Claire Claudia Daniel David Diana Diego Dieter Dorothy Edward Elena Elisabeth Elizabeth Emily Emma Eric Ernst Eva Felix Fernando Florian Francisco Frank François Friedrich Gabriel Geneviève George Georg "
+    "Gerhard Hannah Hans Heinrich Helen Helga Henry Isabel Jack Jacques James Jane Jean Johannes John Jonathan José Juan Julia Julien Jürgen Karl Katharina Kathi Klaus Laura Louis Luc "
+    "Lucia Luis Manuel Marco Margaret Maria Marie Mark Martin Mary Matthias Max Michael Miguel Monika Nicolas Oliver Olivia Oscar Otto Pablo Patrick Paul Pedro Pepe Peter Philip Pierre "
+    "Rafael Richard Robert Rosa Ruth Sabine Samuel Sandra Sarah Sebastian Simon Sofia Sophie Stefan Susan Teresa Theodore Thomas Théodore Ursula Victor Walter William Wolfgang Zoë".split()
 )
 TITLES = "先生|女士|小姐|经理|总监|主任|工程师|老师|总|工|科长|处长|部长|同志"
 #: Words that stand right before a name and right after one (fixed values).
-BEFORE_NAME = (
-    "联系人[为是]?[：:]?|联系人|法人(?:代表)?[：:]|法定代表人[：:]?|授权代表[：:]?|兹授权|授权|委托|证人|收件人[：:]?|参会人员[：:]|经与|我司与|与|样品由|开标当日由|由|找|签署人[：:]?|代理人[：:]?|负责人[：:]?|经办人[：:]|姓名[：:]?|和|及|、"
-)
-AFTER_NAME = (
-    "（身份证|\\(身份证|，证件|，住所|，联系|，手机|，电话|，身份证|，公民|电话沟通|携带|签订|签署|曾于|分别担任|（签字）|\\(签字\\)|（盖章|收(?![一-鿿])|自(?!治)|和|及|、| 身份证| 证件|担任|出席|负责|取回"
-)
+BEFORE_NAME = "联系人[为是]?[：:]?|法人(?:代表)?[：:]|法定代表人[：:]?|授权代表[：:]?|授权|委托|证人|收件人[：:]?|人员[：:]|签署人[：:]?|代理人[：:]?|负责人[：:]?|经办人[：:]|姓名[：:]?|由|与|找|和|及|、"
+AFTER_NAME = "（身份证|\\(身份证|，证件|，住所|，联系|，手机|，电话|，身份证|，公民|电话|携带|签订|签署|曾|分别|（签字）|\\(签字\\)|（盖章|收(?![一-鿿])|自(?!治)|和|及|、| 身份证| 证件|担任|出席|负责"
 _PINYIN = r"(?:[bpmfdtnlgkhjqxzcsryw]|zh|ch|sh)?(?:iang|iong|uang|ang|eng|ing|ong|ian|iao|uai|uan|ai|ei|ao|ou|an|en|in|un|ia|ie|iu|ua|ue|ui|uo|er|a|o|e|i|u|v)"
 _PINYIN_NAME = re.compile(rf"^(?:{_PINYIN}){{1,2}}$")
 _CN = "一-鿿"
@@ -81,12 +79,12 @@ _WEST = [
 ]
 _LATIN_WORD = r"[A-ZÀ-ÖØ-Þ][A-Za-zÀ-ÖØ-öø-ÿ'’-]+"
 _LATIN_NAME = re.compile(rf"(?<![A-Za-z0-9À-ÿ_.@/-])(?:(?:[A-ZÀ-Þ]\.\s?){{1,2}}{_LATIN_WORD}|{_LATIN_WORD},\s[A-Z][a-z]+-[a-z]+|{_LATIN_WORD}(?:\s[A-Z]\.)?\s{_LATIN_WORD})(?![A-Za-z0-9À-ÿ_@])")
-_LATIN_BEFORE = re.compile(r"(?:Contact|Kontakt|Attn\.?|Attention|Ansprechpartner(?:in)? ist|wurde|beantwortet|signatory is|contact|spoke with|ask for|signed by|und|and|Name|Mr\.?|Mrs\.?|Ms\.?|Dr\.?|Herr|Frau|Mme|M\.)\s?:?\s*$")
-_LATIN_AFTER = re.compile(r"^\s?(?:will attend|, who lives|, residing|co-signed|haben|\(Ausweis|, Tel|unter |at \S+@|and [A-Z]|und [A-Z]|confirmed by|signed)")
+_LATIN_BEFORE = re.compile(r"(?:Contact|Kontakt|Attn\.?|Attention|Name|Mr\.?|Mrs\.?|Ms\.?|Dr\.?|Herr|Frau|Mme|M\.|\b(?:contact|is|ist|wurde|with|for|by|und|and))\s?:?\s*$")
+_LATIN_AFTER = re.compile(r"^\s?(?:will\b|, (?:who|residing|Tel)\b|co-|haben\b|\(|unter |at \S+@|and [A-Z]|und [A-Z]|signed)")
+#: First words of clauses and words of companies and places, which no person is named (fixed values).
 _NOT_NAME = set(
-    "Ltd Inc GmbH Bau Controls Co KG AG S.A Company Limited Group Services Systems Lane Street Road Avenue Rue Calle City Room Tel Mail Tender Please The Die Der Das Bei Invoices "
-    "Queries Samples Release Old Total Page Seite Ref Passport Ausweis Contact Kontakt Attn Anschrift Wohnhaft Vergabenummer Auftragswert Seriennummer Baujahr Rückfragen Ansprechpartner "
-    "Bevollmächtigt We No Nr Version Annex Protokoll Nachweise Unterlagen Invoice Number Serial".split()
+    "Ltd Inc GmbH Bau Co KG AG S.A Company Limited Group Services Systems Controls Lane Street Road Avenue Rue Calle City Room Tel Mail Please The Die Der Das Bei We No Nr Page Seite Ref "
+    "Contact Kontakt Attn Anschrift Total Version Annex Invoice Number Serial Passport Ausweis".split()
 )
 _COMPANY_NEAR = re.compile(r"^\s?(?:Ltd|Inc|GmbH|Bau|Controls|Co\.|AG|KG|S\.A|Limited|公司|集团)")
 _SERIAL = re.compile(r"(?:S/N|SN|序列号|编号|serial(?: number)?|Seriennummer|单号|Ref\.?|信用代码|代码|校验值|No\.)\W{0,3}$", re.I)
@@ -133,7 +131,7 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
 
     for m in _EMAIL.finditer(t) if _AT.search(t) else ():
         left, _ = around(m.start(), m.end())
-        add(m.start(), m.end(), "email", 1, 1 if re.search(r"(?i)mail|邮箱|发送|抄送|方式|contact|quer|reach|über|at\s*$|[:：]\s*$", left) else 0, 1 if "@" in m[0] else 0, -1 if _MASK.search(m[0]) else 0)
+        add(m.start(), m.end(), "email", 1, 1 if re.search(r"(?i)mail|邮箱|发送|抄送|方式|contact|at\s*$|[:：]\s*$", left) else 0, 1 if "@" in m[0] else 0, -1 if _MASK.search(m[0]) else 0)
     for name, pattern in _PHONES if numbers else ():
         for m in pattern.finditer(tid):
             a, b = m.span()
@@ -141,7 +139,7 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
             digits = sum(c.isdigit() for c in m[0])
             if _edge(tid, a, b) or (tid[a - 1 : a] in "+." and a) or re.search(r"\d[-/.,\s]$", left[-2:]) and name in ("short", "national"):
                 continue
-            add(a, b, "phone", 1, 1 if name.startswith("cn_") else 0, 1 if re.search(r"(?i)电话|手机|传真|致电|改拨|tel|phone|call|reached|number|unter|mobil|fax|沟通|^\s*$|[:：]\s*$", left) else 0, -1 if _SERIAL.search(left) else 0, -1 if _MASK.search(left[-4:] + right[:4]) else 0, 1 if 7 <= digits <= 18 else -1, 1 if re.match(r"已停机|二十四|转|，对方| is |）|\)|。|，|\s*$|\.|,|;", right) else 0)
+            add(a, b, "phone", 1, 1 if name.startswith("cn_") else 0, 1 if re.search(r"(?i)电话|手机|传真|致电|tel|phone|call|number|mobil|fax|^\s*$|[:：]\s*$", left) else 0, -1 if _SERIAL.search(left) else 0, -1 if _MASK.search(left[-4:] + right[:4]) else 0, 1 if 7 <= digits <= 18 else -1, 1 if re.match(r"转|）|\)|。|，|\s*$|\.|,|;", right) else 0)
     for name, pattern in _IDS if numbers else ():
         for m in pattern.finditer(t):
             a, b = m.span()
@@ -150,7 +148,7 @@ def candidates(text: str) -> list[tuple[int, int, str, str]]:
                 continue
             left, right = around(a, b)
             named = re.search(r"(?i)身份证|证件|护照|公民身份|身份号码|passport|ausweis|\bid\b", left)
-            add(a, b, "id_number", 1, (1 if id18_ok(code) else -1) if name == "id18" else 0, 1 if named else 0, -1 if _SERIAL.search(left) and not named else 0, 1 if name == "passport" else 0, -1 if not named and (re.search(r"(?i)序列|serial|S/N|serien", left) or re.match(r"\s?is engraved", right)) else 0)
+            add(a, b, "id_number", 1, (1 if id18_ok(code) else -1) if name == "id18" else 0, 1 if named else 0, -1 if _SERIAL.search(left) and not named else 0, 1 if name == "passport" else 0, -1 if not named and re.search(r"(?i)序列|serial|S/N|serien", left) else 0)
     for m in _CN_CORE.finditer(t) if "号" in t or "號" in t or "#" in t else ():
         a, b = _grow(t, m)
         left, right = around(a, b)
