@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from sieveline.llm import glyphs
 from sieveline.llm.lookalikes import Table
 from sieveline.llm.neighbours import Classes, components, reaches
+from sieveline.operators.match import pairs_within
 from sieveline.runtime import cut
 
 #: Weights of components in the containment test.
@@ -386,21 +387,6 @@ def classed(hits: DataFrame) -> DataFrame:
     return parsed.join(placed, form).select("hit_id", "project_id", place.alias("place"))
 
 
-def pairs_within(members: DataFrame, keys: list[str], member: str, hot: int = 2000) -> DataFrame:
-    """(keys..., a, b), a < b: all pairs of members with equal keys.
-
-    Groups of more than ``hot`` members are cut into slices of about that size, and every pair of slices meets under a key of
-    its own, so that no task holds all pairs of a group; smaller groups are joined as they are.
-    """
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > hot)
-    m = members.join(sizes, keys, "left").withColumn("__k", F.coalesce(F.ceil(F.col("__n") / hot), F.lit(1)).cast("int"))
-    m = m.withColumn("__s", F.pmod(F.xxhash64(member), F.col("__k")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("__k") - 1))
-    a = m.select(*keys, F.col(member).alias("a"), F.col("__s").alias("__sa"), every.alias("__sb"))
-    b = m.select(*keys, F.col(member).alias("b"), F.col("__s").alias("__sb"), every.alias("__sa"))
-    return a.join(b, [*keys, "__sa", "__sb"]).where(F.col("a") < F.col("b")).select(*keys, "a", "b")
-
-
 def found(hits: DataFrame) -> DataFrame:
     """(hit_a, hit_b): pairs of address hits of one project that denote the same location, hit_a < hit_b."""
     # the classes are read several times by the pairing: a checkpoint keeps the parsing from being repeated

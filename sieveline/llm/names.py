@@ -27,6 +27,7 @@ from sieveline.llm import addresses, glyphs
 from sieveline.llm.lookalikes import Table
 from sieveline.llm.neighbours import Classes, components, reaches
 from sieveline.llm.privacy import COMPOUND, SURNAMES
+from sieveline.operators.match import pairs_within
 from sieveline.runtime import cut
 
 PERSON_FIELDS = ("legal_rep_name", "bid_agent_name", "contact_name")
@@ -520,5 +521,5 @@ def found(hits: DataFrame, decisions: DataFrame, subjects: DataFrame) -> DataFra
     shared = glyphs.shared(spark)
     cities, _ = addresses.places(hits.where((F.col("field") == "address") & F.col("value").isNotNull()).select("value"), shared)
     classes = cut(classed(strings(hits, decisions, subjects), cities).distinct())
-    pairs = addresses.pairs_within(classes, ["project_id", "entity"], "name")
+    pairs = pairs_within(classes, ["project_id", "entity"], "name")
     return pairs.select("project_id", F.col("a").alias("name_a"), F.col("b").alias("name_b")).distinct()
