@@ -520,6 +520,7 @@ def found(hits: DataFrame, decisions: DataFrame, subjects: DataFrame) -> DataFra
     spark = hits.sparkSession
     shared = glyphs.shared(spark)
     cities, _ = addresses.places(hits.where((F.col("field") == "address") & F.col("value").isNotNull()).select("value"), shared)
-    classes = cut(classed(strings(hits, decisions, subjects), cities).distinct())
+    # each string of a project has one class, so pairs come once
+    classes = cut(classed(strings(hits, decisions, subjects), cities))
     pairs = pairs_within(classes, ["project_id", "entity"], "name")
-    return pairs.select("project_id", F.col("a").alias("name_a"), F.col("b").alias("name_b")).distinct()
+    return pairs.select("project_id", F.col("a").alias("name_a"), F.col("b").alias("name_b"))

@@ -12,7 +12,7 @@ from sieveline.runtime import spread, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = spread(table(spark, sf_dir, "field_hits").select("project_id", "supplier_dir", "field", "value"))
+    hits = table(spark, sf_dir, "field_hits").select("project_id", "supplier_dir", "field", "value")
     return names.found(hits, table(spark, sf_dir, "field_decisions"), table(spark, sf_dir, "subject_results"))
 
 
