@@ -501,15 +501,15 @@ def classed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     who = known.where("kind = 'p'").select("project_id", "name", "entity", F.explode(F.arrays_zip(F.split("family", "\\|").alias("family"), F.split("given", "\\|").alias("given"))).alias("x")).select("project_id", "name", "entity", "x.family", "x.given")
     dirs = rows.where("dir <> '' AND role <> 'company'").select("project_id", "name", "dir").distinct()
     part = p.where("kind = 'i'").select("project_id", "name", "family", "given")
-    in_dir = who.join(dirs, ["project_id", "name"])
-    out = None
-    for scope, people in ((["project_id", "dir"], in_dir), (["project_id"], who)):
-        short = part.join(dirs, ["project_id", "name"]) if "dir" in scope else part
-        for given in (["given"], []):
-            mine = short.where("given <> ''" if given else "given = ''")
-            one = people.groupBy(*scope, "family", *given).agg(F.min("entity").alias("entity"), F.max("entity").alias("__last")).where(F.col("entity") == F.col("__last"))
-            hit = mine.join(one, [*scope, "family", *given]).select("project_id", "name", "entity", F.lit(len(scope)).alias("w"))
-            out = hit if out is None else out.unionByName(hit)
+    # both scopes and both ways to look up (with initials, or by the family name alone) are one join: the scope '' is the whole
+    # project, the initials '*' are any
+    own = dirs.select("project_id", "name", "dir")
+    asked = part.join(own.unionByName(part.select("project_id", "name", F.lit("").alias("dir"))), ["project_id", "name"])
+    asked = asked.select("project_id", "name", "dir", "family", F.when(F.col("given") == "", "*").otherwise(F.col("given")).alias("given"))
+    scope = F.array_distinct(F.array(F.coalesce("dir", F.lit("")), F.lit("")))
+    there = who.join(own, ["project_id", "name"], "left").withColumn("dir", F.explode(scope)).withColumn("given", F.explode(F.array(F.col("given"), F.lit("*"))))
+    one = there.groupBy("project_id", "dir", "family", "given").agg(F.min("entity").alias("entity"), F.max("entity").alias("__last")).where(F.col("entity") == F.col("__last"))
+    out = asked.join(one, ["project_id", "dir", "family", "given"]).select("project_id", "name", "entity", F.when(F.col("dir") != "", 2).otherwise(1).alias("w"))
     # of several suppliers with different persons the string means none for sure; the more certain scope comes first
     short = out.groupBy("project_id", "name").agg(F.max(F.struct("w", "entity")).alias("t")).select("project_id", "name", F.col("t.entity").alias("entity"))
     return known.select("project_id", "name", "entity").unionByName(short)
