@@ -120,7 +120,10 @@ def _edge(t: str, a: int, b: int) -> bool:
 
 def candidates(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, votes): the votes are one character a labeler, + for, - against, 0 none."""
-    t = text if text.isascii() else text.translate(_WIDTH)
+    return _voted(text if text.isascii() else text.translate(_WIDTH))
+
+
+def _voted(t: str) -> list[tuple[int, int, str, str]]:
     tid = t.translate(_BRACKETS) if "（" in t else t
     numbers = bool(_DIGITS.search(t))
     out: list[tuple[int, int, str, str]] = []
@@ -250,6 +253,16 @@ def _persons(t: str, add, around, latin: bool) -> None:
         add(a, b, "person", 1 if before else 0, 1 if after else 0, 1 if known or pinyin or initial else 0, -1 if re.search(r"(?:Lane|Street|rue|Calle|des|de la|du|\d{5})\s$", left) else 0, 0, 1 if known or initial else 0)
 
 
+class _Shapes(dict):
+    """The kind of each character, filled as characters come."""
+
+    def __missing__(self, o: int) -> str:
+        c = chr(o)
+        self[o] = kind = "d" if c.isdigit() else "h" if "一" <= c <= "鿿" else "A" if c.isupper() else "a" if c.isalpha() else "_"
+        return kind
+
+
+_SHAPES, _REPEATED = _Shapes(), re.compile(r"(.)\1+")
 _LAST, _FIRST = re.compile(r"[^\W\d_]+\W{0,2}$"), re.compile(r"\W{0,2}[^\W\d_]+")
 
 
@@ -257,9 +270,10 @@ def surroundings(t: str, a: int, b: int) -> str:
     """What stands around a span and what it looks like, as features divided by a separator: the characters and words next to it,
     its length and the kinds of its characters."""
     span, left, right = t[a:b], t[max(0, a - 24) : a], t[b : b + 24]
-    shape = re.sub(r"(.)\1+", r"\1", "".join("d" if c.isdigit() else "h" if "一" <= c <= "鿿" else "A" if c.isupper() else "a" if c.isalpha() else "_" for c in span))
+    shape = _REPEATED.sub(r"\1", span.translate(_SHAPES))
+    han = "一" <= left[-1:] <= "鿿", "一" <= right[:1] <= "鿿"  # words only where there are spaces
     word = lambda m: m[0].strip().lower() if m and not "一" <= m[0].strip()[:1] <= "鿿" else ""
-    parts = (f"l1{left[-1:]}", f"l2{left[-2:]}", f"r1{right[:1]}", f"r2{right[:2]}", f"lw{word(_LAST.search(left))}", f"rw{word(_FIRST.match(right))}", f"n{min(len(span), 32)}", f"s{shape[:16]}")
+    parts = (f"l1{left[-1:]}", f"l2{left[-2:]}", f"r1{right[:1]}", f"r2{right[:2]}", f"lw{word(None if han[0] else _LAST.search(left))}", f"rw{word(None if han[1] else _FIRST.match(right))}", f"n{min(len(span), 32)}", f"s{shape[:16]}")
     return "\x1f".join(parts)
 
 
@@ -351,7 +365,7 @@ def stay(spans: Spans, model: Classifier, least: float = 0.5) -> list[tuple[int,
 def seen(text: str) -> Spans:
     """The candidates of a text with what stands around them."""
     t = text if text.isascii() else text.translate(_WIDTH)
-    return [(a, b, k, v, surroundings(t, a, b)) for a, b, k, v in candidates(text)]
+    return [(a, b, k, v, surroundings(t, a, b)) for a, b, k, v in _voted(t)]
 
 
 def choose(text: str | None, model: Classifier, least: float = 0.5) -> list[tuple[int, int, str]]:
