@@ -157,6 +157,8 @@ class _Doc:
 
     def verdict(self, key: str, digit: bool) -> str:
         """E ends, N never ends, A abbreviation that ends before what is no name, '' unknown; by document, then corpus."""
+        if self.corpus and key not in self.corpus:
+            return ""  # no document shows it as an abbreviation, so this one does not
         known = self.corpus.get(key, "  ")[digit].strip()
         if not digit and known != "E" and known != "N" and self.shows_short(key):
             return "A"
@@ -389,7 +391,8 @@ def verdicts(stats: DataFrame) -> DataFrame:
     there or before a capital (or digit), and of stops before small letters. N: significantly fewer paragraph ends, and by that
     ratio less than half of its stops before capitals are ends; each letter beyond four doubles the evidence asked for, and a
     token that one and the same letter follows always (a formula, or copies of one passage) must be short and hardly ever without stop. A: significantly more small letters, more often with stop than
-    without. E: paragraph ends as expected (kept for tokens that a document or a list could take for an abbreviation).
+    without. E: paragraph ends as expected (kept for tokens that a list could take for an abbreviation). Every token that any document
+    shows before a small letter is kept, so that the split asks a document for its evidence only where it may have some.
     """
     stops = F.col("low") + F.col("cap") + F.col("dig") + F.col("fin")
     plain = F.greatest(F.lit(0), F.col("every") - stops)
@@ -412,8 +415,8 @@ def verdicts(stats: DataFrame) -> DataFrame:
 
     listed = sorted(NEVER | MAY_END)
     out = stats.select("token", "low", F.concat(one("cap"), one("dig")).alias("known"))
-    doubtful = (F.col("low") > 0) | F.col("token").isin(*listed) | (F.length("token") == 1)
-    return out.where(F.col("known").rlike("[NA]") | (F.col("known").contains("E") & doubtful)).select("token", "known")
+    doubtful = F.col("token").isin(*listed) | (F.length("token") == 1)
+    return out.where(F.col("known").rlike("[NA]") | (F.col("low") > 0) | (F.col("known").contains("E") & doubtful)).select("token", "known")
 
 
 def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 200_000) -> DataFrame:
