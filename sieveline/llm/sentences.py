@@ -433,11 +433,9 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
         def cut_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield pd.Series([[{"s": a, "e": b} for a, b in split(t, tokens.value)] for t in texts], dtype=object)
+                yield pd.Series([[i for x in split(t, tokens.value) for i in x] for t in texts], dtype=object)
 
-        spans = F.pandas_udf(cut_all, "array<struct<s: int, e: int>>")("text")
-        rows = src.select("doc_id", F.explode(spans).alias("x"))
-        return rows.select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))
+        return _rows(src.select("doc_id", F.pandas_udf(cut_all, "array<int>")("text").alias("ends")))
 
     def opened(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -449,8 +447,13 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     def cut_own(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, maps in batches:
-            yield pd.Series([[{"s": a, "e": b} for a, b in split(t, {} if k is None else dict(k))] for t, k in zip(texts, maps)], dtype=object)
+            yield pd.Series([[i for x in split(t, {} if k is None else dict(k)) for i in x] for t, k in zip(texts, maps)], dtype=object)
 
-    spans = F.pandas_udf(cut_own, "array<struct<s: int, e: int>>")("text", "known")
-    rows = src.join(settled, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select("doc_id", F.explode(spans).alias("x"))
-    return rows.select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))
+    joined = src.join(settled, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    return _rows(joined.select("doc_id", F.pandas_udf(cut_own, "array<int>")("text", "known").alias("ends")))
+
+
+def _rows(flat: DataFrame) -> DataFrame:
+    """Rows of starts and ends that follow each other in one array."""
+    pairs = F.explode(F.filter(F.transform("ends", lambda x, i: F.struct(x.alias("s"), F.get("ends", i + 1).alias("e"), (i % 2).alias("odd"))), lambda p: p["odd"] == 0))
+    return flat.select("doc_id", pairs.alias("x")).select("doc_id", F.col("x.s").alias("sent_start"), F.col("x.e").alias("sent_end"))
