@@ -105,7 +105,7 @@ def with_parsed(df: DataFrame, text: str, month_first: Column) -> DataFrame:
         return F.col("__a")[_PARTS.index(name)]
 
     df = df.withColumn("__r", _rewritten(F.col(text))).withColumn("__d", folded(F.col(text)))
-    df = df.withColumn("__a", F.when(F.col("__r").startswith("="), F.split(F.substring("__r", 2, 1 << 20), "\\|", -1)))
+    df = df.withColumn("__a", F.when(F.col("__r").startswith("="), F.split(F.regexp_replace("__r", "^=", ""), "\\|", -1)))
     kind, y = part("kind"), num("y")
     mo = F.when(kind == "n", reduce(lambda acc, kv: F.when(part("mo").rlike(f"^(?:{kv[1]})$"), kv[0]).otherwise(acc), MONTHS.items(), F.lit(None).cast("int")))
     mo = mo.when((kind == "ab") & ~month_first, num("d")).when((kind == "pdf") & (part("mo") == ""), 1).otherwise(num("mo"))
@@ -133,10 +133,16 @@ def with_parsed(df: DataFrame, text: str, month_first: Column) -> DataFrame:
         signed, F.when(zone.startswith("-"), -1).otherwise(1) * (F.substring(zone, 2, 2).try_cast("int") * 3600 + F.coalesce(F.substring(zone, 4, 2).try_cast("int"), F.lit(0)) * 60)
     )
     abbr = F.when(zone.rlike("^[a-z]{2,5}$") & ~zone.isin("utc", "gmt"), zone)
-    n, size = F.regexp_extract("__d", r"^(-?\d{9,16})(?:\.\d+)?$", 1), F.length(F.regexp_replace(F.regexp_extract("__d", r"^(-?\d{9,16})(?:\.\d+)?$", 1), "-", ""))
-    scale = F.when(size <= 10, 1_000_000).when(size <= 13, 1000).when(size == 16, 1)
+    # bare digits: up to 10 places seconds, up to 15 milliseconds, up to 18 microseconds, with decimals; digits in the shape of a
+    # date that does not exist are no number
+    bare = lambda i: F.regexp_extract("__d", r"^(-?)(\d{1,18})(?:\.(\d+))?$", i)
+    size = F.length(bare(2))
+    scale = F.when(size <= 10, 1_000_000).when(size <= 15, 1000).otherwise(1).cast("bigint")
+    finer = F.coalesce(F.rpad(F.substring(F.concat(bare(3), F.lit("000000")), 1, 6), 6, "0").try_cast("bigint"), F.lit(0).cast("bigint"))
+    dated = F.col("__r").startswith("=") & size.isin(8, 14)
     df = df.withColumn("__l", F.when(sane, local))
-    epoch = F.when(F.col("__l").isNull() & (n != ""), n.try_cast("bigint") * scale)
+    whole = bare(2).try_cast("bigint") * scale + F.floor(finer * scale / F.lit(1_000_000)).cast("bigint")
+    epoch = F.when(F.col("__l").isNull() & (size > 0) & ~dated, F.when(bare(1) == "-", -whole).otherwise(whole))
     p = F.struct(epoch.alias("epoch_us"), F.col("__l").alias("local_us"), offset.cast("int").alias("offset_s"), abbr.alias("abbr"))
     return df.withColumn("__p", p).drop("__r", "__d", "__a", "__k", "__y", "__mo", "__dd", "__date", "__h", "__z", "__l")
 

@@ -21,6 +21,16 @@ CASES = [
     ("20220811", "UTC", "2022-08-11T00:00:00"),
     ("1639301978", "Asia/Tokyo", "2021-12-12T09:39:38"),
     ("1729981548206", "UTC", "2024-10-26T22:25:48.206000"),
+    ("90000000", "Asia/Tokyo", "1972-11-07T16:00:00"),  # seconds before 1973
+    ("7", "UTC", "1970-01-01T00:00:07"),
+    ("-86400", "UTC", "1969-12-31T00:00:00"),
+    ("1639301978.5004", "UTC", "2021-12-12T09:39:38.500400"),
+    ("1729981548206.7509", "UTC", "2024-10-26T22:25:48.206750"),
+    ("32503680000000", "UTC", "3000-01-01T00:00:00"),  # milliseconds of 14 places
+    ("1729981548206123", "UTC", "2024-10-26T22:25:48.206123"),
+    ("20241350", "UTC", None),
+    ("20241350101010", "UTC", None),
+    ("1234567890123456789", "UTC", None),
     ("D:20210812064111-04'00'", "UTC", "2021-08-12T10:41:11"),
     ("D:2021", "UTC", "2021-01-01T00:00:00"),
     ("Thu Apr  2 14:34:46 2020", "UTC", "2020-04-02T14:34:46"),
