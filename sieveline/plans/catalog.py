@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sieveline.plans import more, records, reports, units, values  # noqa: F401  (they register their queries)
+from sieveline.plans import more, parties, records, reports, units, values  # noqa: F401  (they register their queries)
 from sieveline.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

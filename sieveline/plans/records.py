@@ -289,7 +289,10 @@ def reading_order_text(spark, d):
 LABELS = [("联系人", "contact_name"), ("法人", "legal_rep_name"), ("技术偏离表", "section"), ("正本", "copy"), ("投标文件", "title")]
 
 
-@query()
+@query("""WITH m AS (SELECT * FROM (VALUES """ + ", ".join(f"('{w}', '{f}')" for w, f in LABELS) + """) m(label, field)), b AS (SELECT o.*, m.field FROM ocr_blocks o LEFT JOIN m ON regexp_replace(o.text, '[\\s:：]', '', 'g') = m.label WHERE o.text IS NOT NULL AND o.bbox IS NOT NULL),
+j AS (SELECT l.document_id, l.page, l.field, l.block_id AS label_id, v.block_id AS value_id, v.block_no AS vn, v.text, least(l.confidence, v.confidence) AS confidence, l.bbox AS lb, v.bbox AS vb, (v.bbox.y + v.bbox.height / 2) - (l.bbox.y + l.bbox.height / 2) AS dy, v.bbox.x - (l.bbox.x + l.bbox.width) AS dx FROM b l JOIN b v ON l.document_id = v.document_id AND l.page = v.page WHERE l.field IS NOT NULL AND v.field IS NULL),
+s AS (SELECT *, CASE WHEN abs(dy) <= greatest(2.5 * lb.height, 0.045) AND vb.x >= lb.x AND dx >= 0 THEN abs(dy) + 0.05 * dx WHEN dy > 0 AND dy <= greatest(5 * lb.height, 0.12) AND abs(vb.x - lb.x) <= 0.18 THEN 0.2 + dy END AS score FROM j)
+SELECT document_id, page, field, label_id, arg_min(value_id, (score, vn, value_id)) AS value_id, arg_min(text, (score, vn, value_id)) AS value, arg_min(confidence, (score, vn, value_id)) AS confidence, round(min(score), 6) AS score FROM s WHERE score IS NOT NULL GROUP BY document_id, page, field, label_id""")
 def ocr_spatial_pairs(spark, d):
     labels = spark.createDataFrame(LABELS, "label string, field string")
     return layout.spatial_pairs(table(spark, d, "ocr_blocks"), labels, ["document_id", "page"])

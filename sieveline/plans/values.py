@@ -132,7 +132,8 @@ def ahash_bits(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.when(x.cast("double") * 64 >= total, 1).otherwise(0)).alias("bits"))
 
 
-@query()
+@query("""WITH b AS (SELECT vec_id, [CASE WHEN x::DOUBLE * 64 >= list_sum([y::DOUBLE for y in embedding]) THEN 1 ELSE 0 END for x in embedding] AS b FROM embeddings)
+SELECT vec_id, array_to_string([substr('0123456789abcdef', b[4 * i - 3] * 8 + b[4 * i - 2] * 4 + b[4 * i - 1] * 2 + b[4 * i] + 1, 1) for i in range(1, 17)], '') AS fingerprint FROM b""")
 def ahash_fingerprint(spark, d):
     return table(spark, d, "embeddings").select("vec_id", text.average_hash(F.col("embedding")).alias("fingerprint"))
 
