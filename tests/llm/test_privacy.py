@@ -96,3 +96,34 @@ def test_surroundings_decide_for_new_patterns():
     m = V.Classifier(rows, soft)
     assert m.probability("person", "00", near("找：李四，电话")) > 0.5 > m.probability("person", "00", near("买了平安袋子"))
     assert m.probability("person", "+-", near("找：李四，电话")) > m.probability("person", "+-", near("买了平安袋子"))
+
+
+def test_recall_on_invented_names_and_phrases(spark):
+    """Persons, phrases, towns and numbers drawn at random; given names and phrases that no list holds, beside decoys."""
+    import random
+
+    rnd = random.Random(4)
+    han, latin = "峦汐茗芷霁岚砚澜衡屿桐榆枫棠苇荻", ["Quorin", "Velmar", "Ostrega", "Tindoll", "Brask", "Ynevar", "Halvik", "Morwen"]
+    texts, want = [], set()
+    for i in range(600):
+        name = rnd.choice(sorted(V.SURNAMES)) + "".join(rnd.sample(han, rnd.randint(1, 2)))
+        west = f"{rnd.choice(latin)} {rnd.choice(latin)}sen"
+        phone = f"1{rnd.choice('3579')}{rnd.randint(10**8, 10**9 - 1)}"
+        mail = f"{rnd.choice('abcd')}{rnd.randint(1, 999)}@{rnd.choice(['velm', 'ostr'])}.example"
+        place = f"{''.join(rnd.sample(han, 2))}市{''.join(rnd.sample(han, 2))}区{''.join(rnd.sample(han, 2))}路{rnd.randint(1, 99)}号"
+        t, values = rnd.choice([
+            (f"设备验收由{name}负责，电话{phone}。", [("person", name), ("phone", phone)]),
+            (f"联系人：{name}，邮箱：{mail}，批次编号{rnd.randint(10**9, 10**10 - 1)}。", [("person", name), ("email", mail)]),
+            (f"收件人{name}，地址：{place}。", [("person", name), ("address", place)]),
+            (f"Contact: {west}, Tel. {phone}", [("person", west), ("phone", phone)]),
+            (f"The survey was signed by {west}.", [("person", west)]),
+            (f"合同编号{rnd.randint(10**11, 10**12 - 1)}，共{rnd.randint(2, 99)}页，序列号880{rnd.randint(10**14, 10**15 - 1)}。", []),
+            ("Velmar Ostrega Ltd. delivered the goods.", []),
+        ])
+        texts.append((i, 1, t))
+        want |= {(i, *v) for v in values}
+    ocr = spark.createDataFrame(texts, "block_id long, page int, text string")
+    pdfs = spark.createDataFrame([], "pdf_id long, pages array<struct<page: int, text: string>>")
+    got = {(r.rec_id, r.kind, r.value_text) for r in V.found(V.texts(ocr, pdfs)).collect()}
+    both = len(got & want)
+    assert both >= 0.95 * len(want) and both >= 0.95 * len(got), (both, len(want), len(got), sorted(want - got)[:5], sorted(got - want)[:5])
