@@ -100,6 +100,8 @@ class Table:
 
     def clean(self, text: str, latin: bool = False) -> str:
         """The consistent form of a text; latin says that its words are codes, numbers or addresses in Latin letters."""
+        if _ORDINARY.fullmatch(text):
+            return text
         text = self.base(text)
         if _ORDINARY.fullmatch(text):
             return text

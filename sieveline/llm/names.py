@@ -185,14 +185,17 @@ class Name:
 class Reader:
     def __init__(self, g: glyphs.Glyphs, cities: dict[str, str] | None = None):
         self.g, self.table, self.cities = g, Table(g), set(cities or ())
+        self.simple, self.reading = ({ord(k): v for k, v in m.items()} for m in (g.simple, g.reading))
 
     def plain(self, text: str) -> str:
         text = self.table.clean(text)
-        text = "".join(self.g.simple.get(c, c) for c in text)
-        return re.sub(r"\s+", " ", text).strip(" *、,;:·。")
+        return re.sub(r"\s+", " ", text.translate(self.simple)).strip(" *、,;:·。")
 
     def latin(self, text: str) -> str:
-        return "".join(c for c in unicodedata.normalize("NFD", "".join(self.g.reading.get(c, c) for c in text).lower().replace("ß", "ss")) if c.isascii() and c.isalnum())
+        read = text.translate(self.reading).lower()
+        if read.isascii() and read.isalnum():
+            return read
+        return "".join(c for c in unicodedata.normalize("NFD", read.replace("ß", "ss")) if c.isascii() and c.isalnum())
 
     def read(self, text: str | None, person: bool | None) -> Name | None:
         """person None: to be decided by the text itself."""
@@ -216,7 +219,7 @@ class Reader:
         if re.search(f"[{_CN}]", t):
             return self.chinese_company(re.sub(r"\s+", "", t))
         m = re.match(r"^([A-Za-z]+) ([A-Za-z ]+?),? Co\.?,? ?(?:Ltd|Limited)\.?$", t)
-        if m and (b := next((c for c, _, _, en in BUSINESS if edits(en, m[2].lower()) <= 1), None)):
+        if m and (b := next((c for c, _, _, en in BUSINESS if addresses.close(en, m[2].lower())), None)):
             core = m[1].lower()
             return Name("o", core, "", core, b)
         return self.western_company(t)
@@ -285,7 +288,7 @@ class Reader:
         for w in self.words(t):
             if w in WESTERN_FORMS or len(w) == 1:
                 continue
-            hit = next((b for b in WESTERN_BUSINESS if w == b or (len(w) == 3 and b.startswith(w)) or (len(w) > 4 and edits(w, b) <= 1)), "")
+            hit = next((b for b in WESTERN_BUSINESS if w == b or (len(w) == 3 and b.startswith(w)) or (len(w) > 4 and addresses.close(w, b))), "")
             if hit and (not business):
                 business = hit
             else:
