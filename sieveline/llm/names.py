@@ -33,7 +33,7 @@ from sieveline.runtime import cut
 PERSON_FIELDS = ("legal_rep_name", "bid_agent_name", "contact_name")
 NAME_FIELDS = ("company_name", "tenderer", *PERSON_FIELDS, "shareholder_name")
 
-# Lines of business as (code, full word, short word, English words).
+# Lines of business as (code, full word, short word, English words); others are learned from the corpus.
 BUSINESS = (
     ("supply", "供应链管理", "供应链", "supply chain"),
     ("it", "信息技术", "信息", "information technology"),
@@ -182,8 +182,33 @@ class Name:
     given: str = ""
 
 
+def shorter(word: str) -> list[str]:
+    """The word with one character left out."""
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+
+
+class Lines:
+    """Lines of business learned from the corpus: by the word, its beginnings of two characters or more, and with one error."""
+
+    def __init__(self, words: list[str]):
+        self.known: dict[str, str] = {}
+        self.worn: dict[str, list[str]] = {}
+        for w in sorted(words, key=lambda w: (len(w), w)):
+            for n in range(2, len(w)):
+                self.known.setdefault(w[:n], w)
+            if len(w) >= 4:
+                for v in (w, *shorter(w)):
+                    self.worn.setdefault(v, []).append(w)
+        self.known.update((w, w) for w in words if w not in self.known)  # a word that begins a longer one is its short form
+
+    def near(self, tail: str) -> str:
+        found = {w for v in (tail, *shorter(tail)) for w in self.worn.get(v, ())} if len(tail) >= 3 else set()
+        return min((w for w in found if edits(tail, w) <= 1), default="")
+
+
 class Reader:
-    def __init__(self, g: glyphs.Glyphs, cities: dict[str, str] | None = None):
+    def __init__(self, g: glyphs.Glyphs, cities: dict[str, str] | None = None, lines: list[str] = []):  # noqa: B006
+        self.lines = Lines(lines)
         self.g, self.table, self.cities = g, Table(g), set(cities or ())
         self.simple, self.reading = ({ord(k): v for k, v in m.items()} for m in (g.simple, g.reading))
 
@@ -262,9 +287,12 @@ class Reader:
         for word, code in _WORDS:
             if t.endswith(word) and 2 <= len(t) - len(word) <= 4:
                 return t[: -len(word)], code
-        best = (9.0, 9, t, "")
         if len(t) == 3:
             return t, ""
+        for k in (3, 2, 4):
+            if t[k:] in self.lines.known:
+                return t[:k], self.lines.known[t[k:]]
+        best = (9.0, 9, t, "")
         for k in range(2, min(5, len(t)) + 1):
             tail = t[k:]
             if not tail:
@@ -275,6 +303,10 @@ class Reader:
                     d = edits(tail, word) if abs(len(tail) - len(word)) <= most else 9
                     if d <= most:
                         best = min(best, (d + (0 if word is full else 0.1), abs(k - 3), t[:k], code))
+        if not best[3]:
+            for k in (3, 2, 4):
+                if word := self.lines.near(t[k:]):
+                    return t[:k], word
         return best[2], best[3]
 
     def words(self, t: str) -> list[str]:
@@ -370,13 +402,32 @@ def strings(hits: DataFrame, decisions: DataFrame, subjects: DataFrame) -> DataF
     return every.where(F.col("project_id").isNotNull() & F.col("name").isNotNull() & (F.trim("name") != "")).groupBy("project_id", "name", "role", "dir").agg(F.count("*").alias("n"))
 
 
+def business_words(rows: DataFrame, least: int = 20, kinds: int = 8, share: float = 1e-4) -> list[str]:
+    """Lines of business that the corpus shows beside the fixed ones: endings of organisations' names, before the legal form,
+    that stand after many different characters none of which prevails (so there the core ends), and that end in no shorter one.
+
+    A word needs ``least`` sightings and a ``share`` of all names; a name has at most five endings, so at most 5 / share
+    words (50,000 of some ten characters) reach the driver, whatever the corpus. Sums in the JVM.
+    """
+    company = rows.where("role = 'company'")
+    whole = F.regexp_replace("name", "(?U)\\s|[（(][^）)]*[）)]", "")
+    base = company.select(F.regexp_extract(whole, "^([\\u4e00-\\u9fff]{4,}?)(?:股份有限公司|有限责任公司|有限公司|集团公司)$", 1).alias("b"), "n").where("b <> ''")
+    ends = F.transform(F.sequence(F.lit(2), F.least(F.lit(6), F.length("b") - 2)), lambda k: F.struct(F.right("b", k).alias("w"), F.substr("b", F.length("b") - k, F.lit(1)).alias("before")))
+    one = base.select(F.explode(ends).alias("e")).groupBy("e.w", "e.before").agg(F.count("*").alias("c"))
+    fixed = [w for _, full, short, _ in BUSINESS for w in (full, short)]
+    words = one.groupBy("w").agg(F.sum("c").alias("c"), F.count("*").alias("kinds"), F.max("c").alias("top"))
+    words = words.where((F.col("c") >= max(least, share * company.count())) & (F.col("kinds") >= kinds) & (3 * F.col("top") <= F.col("c")))
+    found = {r.w for r in words.select("w").collect()} | set(fixed)
+    return sorted(w for w in found if w not in fixed and not any(w[i:] in found for i in range(1, len(w) - 1)))
+
+
 def parsed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     """One row a distinct string and project, read into tokens."""
     spark = rows.sparkSession
-    shared, known = glyphs.shared(spark), spark.sparkContext.broadcast(cities)
+    shared, known = glyphs.shared(spark), spark.sparkContext.broadcast((cities, business_words(rows)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value, known.value)
+        reader = Reader(shared.value, *known.value)
         read = lru_cache(20_000)(reader.read)  # one spelling occurs in many projects
         for pdf in batches:
             out = []

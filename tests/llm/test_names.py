@@ -121,3 +121,25 @@ def test_assignment_of_any_length():
 def test_costs_refuse_what_the_index_joins():
     reach = frozenset([1])
     assert N.org_classes([("huaxin", "", "", "", "a", 9, reach), ("zzzzqqq", "", "", "", "b", 5, reach), ("huaxing", "", "", "", "c", 1, reach)]) == [0, 1, 0]
+
+
+def test_recall_on_invented_lines_of_business(spark):
+    """Towns, cores and lines of business that no list holds, in eight spellings: the lines are learned from the names themselves."""
+    rnd = random.Random(7)
+    han, lines = "峦汐茗芷霁岚砚澜衡屿桐榆枫棠苇荻蘅汀洲渚铭博瑞泽恒昌盛隆", ["酿造工艺", "纺织印染", "航空租赁", "海洋渔业"]
+    rows, want = [], set()
+    for p in range(60):
+        for _ in range(4):
+            city, core, b = rnd.choice(["澄川", "湄滨", "邙山"]), "".join(rnd.sample(han, 3)), rnd.choice(lines)
+            full = f"{city}{core}{b}有限公司"
+            ways = [full, f"{core}{b}({city})有限公司", f"{core}{b}有限责任公司", f"{city}{core}{b}股份有限公司", f"{city}{core[1]}{core[0]}{core[2]}{b}有限公司", f"{core}{b}公司（盖章）", f"{city}{core}{b[:2]}有限公司", f"{city}{core}{core[2]}{b}有限公司"]
+            mine = sorted({full, *rnd.sample(ways, rnd.randint(3, 5))})
+            rows += [(f"P{p}", "company_name", t, "D1") for t in mine for _ in range(3 if t == full else 1)]
+            want |= {(f"P{p}", *sorted(x)) for x in itertools.combinations(mine, 2)}
+    rows += [(f"P{p}", "address", f"渊南省{c}市北区长街{p}号", None) for c in ("澄川", "湄滨", "邙山") for p in range(4)]
+    hits = spark.createDataFrame(rows, "project_id string, field string, value string, supplier_dir string")
+    words = N.business_words(N.strings(hits, spark.createDataFrame([], "project_id string, field string, normalized string, scope string"), spark.createDataFrame([], "project_id string, name string")))
+    assert set(lines) <= set(words)
+    got = {tuple(r) for r in N.found(hits, spark.createDataFrame([], "project_id string, field string, normalized string, scope string"), spark.createDataFrame([], "project_id string, name string")).collect()}
+    both = len(got & want)
+    assert both >= 0.9 * len(want) and both >= 0.95 * len(got), (both, len(want), len(got))
