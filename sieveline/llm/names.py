@@ -207,7 +207,10 @@ class Lines:
 
 
 class Reader:
-    def __init__(self, g: glyphs.Glyphs, cities: dict[str, str] | None = None, lines: list[str] = []):  # noqa: B006
+    def __init__(self, g: glyphs.Glyphs, cities: dict[str, str] | None = None, lines: list[str] = [], western: list[str] = []):  # noqa: B006
+        # a word that begins just one longer one is its short form; one that begins several says nothing
+        longer = {w: [x for x in (*western, *WESTERN_BUSINESS) if x != w and x.startswith(w)] if len(w) == 3 else [] for w in western}
+        self.western = {w: w if not x else x[0] if len(x) == 1 else "" for w, x in longer.items()}
         self.lines = Lines(lines)
         self.g, self.table, self.cities = g, Table(g), set(cities or ())
         self.simple, self.reading = ({ord(k): v for k, v in m.items()} for m in (g.simple, g.reading))
@@ -316,20 +319,24 @@ class Reader:
         return re.findall(r"[^\W_]+", s)
 
     def western_company(self, t: str) -> Name | None:
-        business, rest = "", []
+        business, rest, learned = "", [], []
         for w in self.words(t):
             if w in WESTERN_FORMS or len(w) == 1:
                 continue
             hit = next((b for b in WESTERN_BUSINESS if w == b or (len(w) == 3 and b.startswith(w)) or (len(w) > 4 and addresses.close(w, b))), "")
             if hit and (not business):
                 business = hit
+            elif not hit and w in self.western:
+                learned.append(self.western[w])
             else:
                 rest.append(w)
         if not rest:
-            if not business:
+            if not business and not learned:
                 return None
-            rest, business = [business], ""
+            rest, business, learned = [business or " ".join(learned)], "", []
         core = "".join(rest)
+        if learned and not business and not syllables(core):
+            business = " ".join(filter(None, learned))  # a name in the reading of characters has its line in another language: it contradicts none
         return Name("o", core, "", core, business)
 
     # persons
@@ -422,10 +429,22 @@ def business_words(rows: DataFrame, least: int = 20, kinds: int = 8, share: floa
     return sorted(w for w in found if w not in fixed and not any(w[i:] in found for i in range(1, len(w) - 1)))
 
 
+def western_words(rows: DataFrame, least: int = 20, kinds: int = 8, share: float = 1e-4) -> list[str]:
+    """Words of business in names of Latin letters that the corpus shows beside the fixed ones: words that stand with many
+    different rests of names. Bounds as for :func:`business_words`, by the words of a name instead of its endings."""
+    company = rows.where("role = 'company'").where(~F.col("name").rlike("[\\u4e00-\\u9fff]"))
+    words = F.array_distinct(F.filter(F.split(F.lower(F.regexp_replace("name", "[^\\p{L}]+", " ")), " "), lambda w: (F.length(w) >= 3) & ~w.isin(*sorted(WESTERN_FORMS))))
+    one = company.select(words.alias("ws")).where(F.size("ws") > 1).select(F.explode(F.transform("ws", lambda w: F.struct(w.alias("w"), F.xxhash64(F.array_except("ws", F.array(w))).alias("rest")))).alias("e"))
+    sums = one.groupBy("e.w", "e.rest").agg(F.count("*").alias("c")).groupBy("w").agg(F.sum("c").alias("c"), F.count("*").alias("kinds"), F.max("c").alias("top"))
+    found = sums.where((F.col("c") >= max(least, share * company.count())) & (F.col("kinds") >= kinds) & (5 * (F.col("c") - F.col("top")) >= F.col("c"))).select("w").collect()
+    plain = {"".join(c for c in unicodedata.normalize("NFKD", r.w.replace("ß", "ss")) if not unicodedata.combining(c)) for r in found}
+    return sorted(plain - WESTERN_FORMS - set(WESTERN_BUSINESS) - {w for _, _, _, en in BUSINESS for w in en.split()})
+
+
 def parsed(rows: DataFrame, cities: dict[str, str]) -> DataFrame:
     """One row a distinct string and project, read into tokens."""
     spark = rows.sparkSession
-    shared, known = glyphs.shared(spark), spark.sparkContext.broadcast((cities, business_words(rows)))
+    shared, known = glyphs.shared(spark), spark.sparkContext.broadcast((cities, business_words(rows), western_words(rows)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value, *known.value)

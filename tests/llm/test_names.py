@@ -143,3 +143,19 @@ def test_recall_on_invented_lines_of_business(spark):
     got = {tuple(r) for r in N.found(hits, spark.createDataFrame([], "project_id string, field string, normalized string, scope string"), spark.createDataFrame([], "project_id string, name string")).collect()}
     both = len(got & want)
     assert both >= 0.9 * len(want) and both >= 0.95 * len(got), (both, len(want), len(got))
+
+
+def test_western_words_are_learned(spark):
+    """Invented words of business between many names; a frequent name with one word is none; three letters are a short form."""
+    rnd = random.Random(9)
+    cores = ["".join(rnd.choice(["vel", "mar", "tor", "bra", "kel", "ost", "rin", "dan"]) for _ in range(4)).capitalize() for _ in range(60)]
+    rows = [("P", f"{c} {b} GmbH", "company", "") for c in cores for b in ("Quarzwerk", "Tulmina")] + [("P", f"{c} Qua.", "company", "") for c in cores]
+    rows += [(f"Q{i}", "Hubnarvel Quarzwerk Ltd.", "company", "") for i in range(60)]
+    df = spark.createDataFrame(rows, "project_id string, name string, role string, dir string")
+    words = N.western_words(df)
+    assert words == ["qua", "quarzwerk", "tulmina"]
+    r = N.Reader(glyphs.tables(spark), {}, [], words)
+    a, b, c = (r.read(f"{cores[0]} {x}", False) for x in ("Quarzwerk GmbH", "Qua.", "Tulmina"))
+    assert (a.core, a.business) == (b.core, b.business) == (cores[0].lower(), "quarzwerk") and c.business == "tulmina"
+    assert r.read("Quarzwerk GmbH", False).core == "quarzwerk" and r.read("Mingboyu Tulmina Co.", False).business == ""
+    assert N.western_words(df.limit(0)) == [] and N.business_words(df.limit(0)) == []
