@@ -419,7 +419,7 @@ def business_words(rows: DataFrame, least: int = 20, kinds: int = 8, share: floa
     """
     company = rows.where("role = 'company'")
     whole = F.regexp_replace("name", "(?U)\\s|[（(][^）)]*[）)]", "")
-    base = company.select(F.regexp_extract(whole, "^([\\u4e00-\\u9fff]{4,}?)(?:股份有限公司|有限责任公司|有限公司|集团公司)$", 1).alias("b"), "n").where("b <> ''")
+    base = company.select(F.regexp_extract(whole, "^([\\u4e00-\\u9fff]{4,}?)(?:股份有限公司|有限责任公司|有限公司|集团公司)$", 1).alias("b")).where("b <> ''")
     ends = F.transform(F.sequence(F.lit(2), F.least(F.lit(6), F.length("b") - 2)), lambda k: F.struct(F.right("b", k).alias("w"), F.substr("b", F.length("b") - k, F.lit(1)).alias("before")))
     one = base.select(F.explode(ends).alias("e")).groupBy("e.w", "e.before").agg(F.count("*").alias("c"))
     fixed = [w for _, full, short, _ in BUSINESS for w in (full, short)]
